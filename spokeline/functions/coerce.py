@@ -1,132 +1,167 @@
 """Lenient conversion of JSON values to typed columns.
 
-A field is a struct<kind, text>: the JSON type name and the value as text. It is null when the
-record has no such field, which is not the same as a JSON null (kind VOID).
+A value is read by its JSON type name (kind) and its text. Both are null for a missing field; a
+JSON null has the kind VOID and no text.
 """
 
-from pyspark.sql import Column
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The white space a text value is stripped of, and the number and time formats read.
-_SPACE = r"[\s\x1c-\x1f]"
-_STRIP = f"(?U)^{_SPACE}+|{_SPACE}+$"
+_SPACE = (
+    "\t\n\v\f\r\x1c\x1d\x1e\x1f \x85\xa0         "
+    "       　"
+)
 _INT = r"^[+-]?\d+(_\d+)*$"
 _FLOAT = (
     r"(?i)^([+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)(e[+-]?\d+(_\d+)*)?"
     r"|[+-]?inf(inity)?|nan)$"
 )
 _TIME = (
-    r"^(\d{4}-\d{2}-\d{2})"
-    r"(?:.(\d{2})(?::(\d{2})(?::(\d{2}(?:[.,]\d+)?))?)?"
-    r"(?:Z|([+-])(\d{2})(?::?(\d{2})(?::?(\d{2}))?)?)?)?$"
+    r"^\d{4}-\d{2}-\d{2}"
+    r"(.\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 )
 
 
-def parse_document(text: Column) -> Column:
-    """The text as a VARIANT, or null unless it is exactly one JSON value."""
-    wrapped = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
-    return F.when(
-        F.try_variant_get(wrapped, "$[1]", "variant").isNull(),
-        F.try_variant_get(wrapped, "$[0]", "variant"),
-    )
+@dataclass
+class Field:
+    kind: Column
+    text: Column
+    falsy: Column
 
+    @property
+    def missing(self) -> Column:
+        return self.kind.isNull()
 
-def field(value: Column) -> Column:
-    """The struct described above, of a VARIANT taken from a record (null when missing)."""
-    schema = F.schema_of_variant(value)
-    kind = F.substring_index(F.substring_index(schema, "(", 1), "<", 1)
-    return F.when(
-        value.isNotNull(),
-        F.struct(kind.alias("kind"), F.try_variant_get(value, "$", "string").alias("text")),
-    )
+    @property
+    def is_null(self) -> Column:
+        return self.kind == "VOID"
 
+    @property
+    def is_text(self) -> Column:
+        return self.kind == "STRING"
 
-def has_kind(f: Column, *kinds: str) -> Column:
-    """True when the field is present and its JSON type is one of the given ones."""
-    return F.coalesce(f["kind"].isin(*kinds), F.lit(False))
+    @property
+    def is_nested(self) -> Column:
+        return self.kind.startswith("ARRAY") | self.kind.startswith("OBJECT")
 
+    def true(self, condition: Column) -> Column:
+        """The condition for a field that is there, else false."""
+        return F.coalesce(condition, F.lit(False))
 
-def _is_number(f: Column) -> Column:
-    return has_kind(f, "BIGINT", "DECIMAL", "DOUBLE", "FLOAT")
+    def or_else(self, other: "Field") -> "Field":
+        """This field unless it is falsy."""
+        return Field(
+            F.when(self.falsy, other.kind).otherwise(self.kind),
+            F.when(self.falsy, other.text).otherwise(self.text),
+            self.falsy & other.falsy,
+        )
 
 
-def is_falsy(f: Column) -> Column:
-    """Missing, null, false, zero, empty text, empty array or empty object."""
-    return (
-        F.when(f.isNull() | has_kind(f, "VOID"), True)
-        .when(has_kind(f, "STRING"), f["text"] == "")
-        .when(has_kind(f, "BOOLEAN"), f["text"] == "false")
-        .when(_is_number(f), f["text"].cast("double") == 0)
-        .otherwise(f["text"].isin("[]", "{}"))
+def with_document(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Add the text as a VARIANT column, null unless it is exactly one JSON value.
+
+    The parser stops after one value; inside brackets any further text shows.
+    """
+    wrapped = df.withColumn("_wrapped", F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))))
+    elements = wrapped.withColumns(
+        {
+            "_first": F.try_variant_get("_wrapped", "$[0]", "variant"),
+            "_second": F.try_variant_get("_wrapped", "$[1]", "variant"),
+        }
+    )
+    document = F.when(F.col("_second").isNull(), F.col("_first"))
+    return elements.select(*df.columns, document.alias(name))
+
+
+def with_fields(
+    df: DataFrame, record: str, names: list[str], nested: dict[str, tuple[str, str]] | None = None
+) -> tuple[DataFrame, dict[str, Field]]:
+    """Add what a Field needs for every name of a VARIANT object, and the fields by name.
+
+    nested maps a further field name to (parent, path in the parent). Every projection here
+    computes each of its expressions once for the next one to use.
+    """
+    nested = nested or {}
+    entries = F.expr(f"try_variant_get({record}, '$', 'map<string, variant>')")
+    values = df.withColumn("_entries", entries).withColumns(
+        {
+            **{f"_{n}": F.col("_entries")[n] for n in names},
+            **{
+                f"_{n}": F.try_variant_get(F.col("_entries")[parent], f"$.{path}", "variant")
+                for n, (parent, path) in nested.items()
+            },
+        }
     )
+    every = [*names, *nested]
+    typed = values.select(
+        *df.columns,
+        *[F.schema_of_variant(f"_{n}").alias(f"_{n}_kind") for n in every],
+        *[F.try_variant_get(f"_{n}", "$", "string").alias(f"_{n}_text") for n in every],
+    )
+    fields = {}
+    for n in every:
+        fields[n] = Field(F.col(f"_{n}_kind"), F.col(f"_{n}_text"), F.col(f"_{n}_falsy"))
+    return typed.withColumns({f"_{n}_falsy": _is_falsy(f) for n, f in fields.items()}), fields
 
 
-def first_truthy(first: Column, second: Column) -> Column:
-    return F.when(is_falsy(first), second).otherwise(first)
+def _is_falsy(f: Field) -> Column:
+    """Missing, null, false, zero, empty text, empty array or empty object."""
+    empty = f.text.isin("false", "0", "0.0", "-0.0", "[]", "{}")
+    return f.text.isNull() | F.when(f.is_text, f.text == "").otherwise(empty)
 
 
 def strip(text: Column) -> Column:
     """Trim every kind of white space, not only blanks."""
-    return F.regexp_replace(text, _STRIP, "")
+    return F.btrim(text, F.lit(_SPACE))
 
 
 def whole_number(text: Column) -> Column:
     """Integer text as INT; null when it is not an integer or does not fit."""
-    digits = strip(text)
-    return F.when(digits.rlike(_INT), F.regexp_replace(digits, "_", "").try_cast("int"))
+    number = strip(text)
+    return F.when(number.rlike(_INT), F.replace(number, F.lit("_"), F.lit("")).try_cast("int"))
 
 
-def int_or_zero(f: Column) -> Column:
+def int_or_zero(f: Field) -> Column:
     """Falsy is 0, true is 1, fractions are cut off; null when unreadable or beyond 32 bits."""
     return (
-        F.when(is_falsy(f), 0)
-        .when(has_kind(f, "STRING"), whole_number(f["text"]))
-        .when(has_kind(f, "BOOLEAN"), 1)
-        .when(has_kind(f, "DOUBLE", "FLOAT"), f["text"].cast("double").try_cast("int"))
-        .when(_is_number(f), F.regexp_extract(f["text"], r"^-?\d+", 0).try_cast("int"))
+        F.when(f.falsy, 0)
+        .when(f.is_text, whole_number(f.text))
+        .when(f.kind == "BOOLEAN", 1)
+        .when(f.kind == "DOUBLE", f.text.cast("double").try_cast("int"))
+        .otherwise(F.substring_index(f.text, ".", 1).try_cast("int"))
     )
 
 
-def is_bad_int(f: Column) -> Column:
-    """The value cannot be read as an integer at all (too large a one can)."""
-    return ~is_falsy(f) & (
-        has_kind(f, "ARRAY", "OBJECT")
-        | (has_kind(f, "STRING") & ~F.coalesce(strip(f["text"]).rlike(_INT), F.lit(False)))
-    )
+def is_bad_int(f: Field, value: Column) -> Column:
+    """Whether int_or_zero gave null for something that is no number, not for its size."""
+    is_number = f.true(F.when(f.is_text, strip(f.text).rlike(_INT)).otherwise(~f.is_nested))
+    return value.isNull() & ~is_number
 
 
-def flag_or_true(f: Column) -> Column:
+def flag_or_true(f: Field) -> Column:
     """Truthiness; a missing field is true, and so is any non-empty text."""
-    return F.when(f.isNull(), True).otherwise(~is_falsy(f))
+    return f.missing | ~f.falsy
 
 
-def coordinate(f: Column) -> Column:
-    """Number, numeric text or true as DOUBLE; falsy is null."""
-    text = strip(f["text"])
+def coordinate(f: Field) -> Column:
+    """Number, numeric text or true as DOUBLE; null for anything else."""
+    text = strip(f.text)
+    number = F.when(text.rlike(_FLOAT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
     return F.when(
-        ~is_falsy(f),
-        F.when(
-            has_kind(f, "STRING"),
-            F.when(text.rlike(_FLOAT), F.regexp_replace(text, "_", "").try_cast("double")),
-        )
-        .when(has_kind(f, "BOOLEAN"), 1.0)
-        .when(_is_number(f), f["text"].cast("double")),
-    )
-
-
-def is_bad_coordinate(f: Column) -> Column:
-    return ~is_falsy(f) & (
-        has_kind(f, "ARRAY", "OBJECT")
-        | (has_kind(f, "STRING") & ~F.coalesce(strip(f["text"]).rlike(_FLOAT), F.lit(False)))
+        ~f.falsy,
+        F.when(f.is_text, number)
+        .when(f.kind == "BOOLEAN", 1.0)
+        .otherwise(f.text.try_cast("double")),
     )
 
 
-def code_text(f: Column) -> Column:
-    """A station code as text: missing is empty; null, arrays and objects have none."""
+def code_text(f: Field) -> Column:
+    """A station code as text; a missing one is empty, a JSON null has none."""
     return (
-        F.when(f.isNull(), "")
-        .when(has_kind(f, "BOOLEAN"), F.initcap(f["text"]))
-        .when(~has_kind(f, "VOID", "ARRAY", "OBJECT"), f["text"])
+        F.when(f.missing, "").when(f.kind == "BOOLEAN", F.initcap(f.text)).otherwise(f.text)
     )
 
 
@@ -136,20 +171,11 @@ def district(code: Column) -> Column:
     return F.when((F.length(code) > 3) & number.between(1, 99), number)
 
 
-def instant(f: Column) -> Column:
+def instant(text: Column) -> Column:
     """Extended ISO date or date-time text as TIMESTAMP, its offset applied; else null."""
-    text = f["text"]
-
-    def part(group: int, default: str) -> Column:
-        found = F.regexp_extract(text, _TIME, group)
-        return F.when(found == "", default).otherwise(found)
-
-    seconds = (
-        part(6, "0").cast("int") * 3600 + part(7, "0").cast("int") * 60 + part(8, "0").cast("int")
-    )
-    wall_clock = F.concat(
-        part(1, ""), F.lit(" "), part(2, "00"), F.lit(":"), part(3, "00"), F.lit(":"),
-        F.replace(part(4, "00"), F.lit(","), F.lit(".")),
-    ).try_cast("timestamp")
-    shift = F.make_dt_interval(secs=F.when(part(5, "+") == "-", seconds).otherwise(-seconds))
-    return F.when(text.rlike(_TIME) & (seconds < 86400), wall_clock + shift)
+    # To the forms a cast reads: T between date and time, minutes, and a colon in the offset.
+    time = F.regexp_replace(text, r"^(.{10}).(\d{2})(?=$|Z|[+-])", "$1T$2:00")
+    time = F.regexp_replace(time, r"([+-]\d{2})(\d{2})$", "$1:$2")
+    time = F.overlay(F.replace(time, F.lit(","), F.lit(".")), F.lit("T"), 11, 1)
+    cast = F.when(F.length(text) == 10, text).otherwise(time).try_cast("timestamp")
+    return F.when(text.rlike(_TIME), cast)

@@ -10,6 +10,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     # A JSON object that repeats a key keeps the last value instead of failing to parse.
     "spark.sql.variant.allowDuplicateKeys": "true",
+    # The JVM never compiles methods beyond 8000 bytes; wide JSON projections would be one.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
