@@ -18,8 +18,11 @@ def fill_rate(bikes: Column, capacity: Column) -> Column:
 
 
 def mean_fill_rate(bikes: Column, capacity: Column) -> Column:
-    """Mean fill rate, 1 decimal. Decimal arithmetic, so that no row order changes the result."""
-    hundred = F.lit("100.0").cast("decimal(4,1)")
+    """Mean of the unrounded fill rates, 1 decimal.
+
+    Decimal arithmetic with 16 decimals per rate, so that no row order changes the result.
+    """
+    hundred = F.lit("100.00000").cast("decimal(8,5)")
     return F.round(F.avg(hundred * bikes / F.nullif(capacity, F.lit(0))), 1).cast("double")
 
 

@@ -36,7 +36,7 @@ def latest_with_ties(
 
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether Catalyst estimates df to be below the broadcast threshold of the session."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
 
 

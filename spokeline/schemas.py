@@ -33,6 +33,17 @@ EVENTS = _table(
     "num_ebikes int, payload variant, consumed_at timestamp"
 )
 
+# The event table as stored: good events and rejects are its two accepted partitions.
+STORED_EVENTS = T.StructType(
+    [
+        *EVENTS.fields,
+        *_table(
+            "partition int, offset long, reason string, raw string, accepted boolean, "
+            "consumed_date date"
+        ).fields,
+    ]
+)
+
 DISTRICTS = _table(
     "arrondissement int, snapshot_time timestamp, total_stations int, total_bikes int, "
     "total_docks int, total_ebikes int, avg_fill_rate double, empty_stations int, "

@@ -2,8 +2,10 @@
 
 import tempfile
 import uuid
+from datetime import datetime
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, SparkSession
+from pyspark.sql import functions as F
 
 SETTINGS = {
     # Table timestamps are UTC wall clocks.
@@ -21,6 +23,11 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def utc(instant: datetime) -> Column:
+    """A UTC wall clock time as a literal, whatever the time zone of this process."""
+    return F.lit(instant.isoformat(sep=" ")).cast("timestamp")
+
+
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder for intermediate tables and stream checkpoints.
 

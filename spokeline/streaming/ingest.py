@@ -8,11 +8,6 @@ from spokeline import schemas
 from spokeline.operators.records import parse_messages
 
 FLUSH = "5 seconds"
-STORED = schemas.T.StructType(
-    [*schemas.EVENTS.fields]
-).add("partition", "int").add("offset", "long").add("reason", "string").add("raw", "string").add(
-    "accepted", "boolean"
-).add("consumed_date", "date")
 
 
 def start_ingest(
@@ -41,12 +36,12 @@ def start_ingest(
 
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     """The event table, with partition and offset for the order of one consume time."""
-    stored = spark.read.schema(STORED).parquet(path).filter("accepted")
+    stored = spark.read.schema(schemas.STORED_EVENTS).parquet(path).filter("accepted")
     return stored.select(*schemas.EVENTS.names, "partition", "offset", "consumed_date")
 
 
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
-    stored = spark.read.schema(STORED).parquet(path).filter("NOT accepted")
+    stored = spark.read.schema(schemas.STORED_EVENTS).parquet(path).filter("NOT accepted")
     return stored.select(
         F.lit("topic").alias("source"), "partition", "offset", "raw", "reason",
         F.col("consumed_at").alias("rejected_at"),
