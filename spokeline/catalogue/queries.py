@@ -145,10 +145,10 @@ def fill_rate_rows(spark, sf_dir):
 
 
 def district_parse(spark, sf_dir):
-    code = F.concat(F.lit(" "), F.col("o_orderkey").cast("string"), F.lit("\t"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", code.alias("code"))
-    stripped = coerce.strip(F.col("code"))
-    return orders.select("o_orderkey", coerce.district(stripped).alias("arrondissement"))
+    padded = F.concat(F.lit(" "), F.col("o_orderkey").cast("string"), F.lit("\t"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", padded.alias("padded"))
+    codes = orders.selectExpr("o_orderkey", f"{coerce.strip('padded')} AS code")
+    return codes.selectExpr("o_orderkey", f"{coerce.district('code')} AS arrondissement")
 
 
 def payload_fields(spark, sf_dir):

@@ -1,4 +1,4 @@
-"""Lenient conversion of JSON values to typed columns.
+"""Lenient conversion of JSON values to typed columns, as SQL expressions.
 
 A value is read by its JSON type name (kind) and its text. Both are null for a missing field; a
 JSON null has the kind VOID and no text.
@@ -6,8 +6,7 @@ JSON null has the kind VOID and no text.
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 # The white space a text value is stripped of, and the number and time formats read.
 _SPACE = (
@@ -27,36 +26,38 @@ _TIME = (
 
 @dataclass
 class Field:
-    kind: Column
-    text: Column
-    falsy: Column
+    """SQL expressions of one field of a record; falsy is never null."""
+
+    kind: str
+    text: str
+    falsy: str
 
     @property
-    def missing(self) -> Column:
-        return self.kind.isNull()
+    def missing(self) -> str:
+        return f"({self.kind} IS NULL)"
 
     @property
-    def is_null(self) -> Column:
-        return self.kind == "VOID"
+    def is_null(self) -> str:
+        return f"(coalesce({self.kind}, '') = 'VOID')"
 
     @property
-    def is_text(self) -> Column:
-        return self.kind == "STRING"
+    def is_text(self) -> str:
+        return f"(coalesce({self.kind}, '') = 'STRING')"
 
     @property
-    def is_nested(self) -> Column:
-        return self.kind.startswith("ARRAY") | self.kind.startswith("OBJECT")
+    def is_object(self) -> str:
+        return f"startswith(coalesce({self.kind}, ''), 'OBJECT')"
 
-    def true(self, condition: Column) -> Column:
-        """The condition for a field that is there, else false."""
-        return F.coalesce(condition, F.lit(False))
+    @property
+    def is_nested(self) -> str:
+        return f"({self.is_object} OR startswith(coalesce({self.kind}, ''), 'ARRAY'))"
 
     def or_else(self, other: "Field") -> "Field":
         """This field unless it is falsy."""
         return Field(
-            F.when(self.falsy, other.kind).otherwise(self.kind),
-            F.when(self.falsy, other.text).otherwise(self.text),
-            self.falsy & other.falsy,
+            f"if({self.falsy}, {other.kind}, {self.kind})",
+            f"if({self.falsy}, {other.text}, {self.text})",
+            f"({self.falsy} AND {other.falsy})",
         )
 
 
@@ -65,117 +66,101 @@ def with_document(df: DataFrame, text: str, name: str) -> DataFrame:
 
     The parser stops after one value; inside brackets any further text shows.
     """
-    wrapped = df.withColumn("_wrapped", F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))))
-    elements = wrapped.withColumns(
-        {
-            "_first": F.try_variant_get("_wrapped", "$[0]", "variant"),
-            "_second": F.try_variant_get("_wrapped", "$[1]", "variant"),
-        }
+    wrapped = df.selectExpr("*", f"try_parse_json(concat('[', {text}, ']')) AS _wrapped")
+    elements = wrapped.selectExpr(
+        *df.columns,
+        "try_variant_get(_wrapped, '$[0]', 'variant') AS _first",
+        "try_variant_get(_wrapped, '$[1]', 'variant') AS _second",
     )
-    document = F.when(F.col("_second").isNull(), F.col("_first"))
-    return elements.select(*df.columns, document.alias(name))
+    return elements.selectExpr(*df.columns, f"if(_second IS NULL, _first, NULL) AS {name}")
 
 
 def with_fields(
-    df: DataFrame, record: str, names: list[str], nested: dict[str, tuple[str, str]] | None = None
+    df: DataFrame, record: str, paths: dict[str, str]
 ) -> tuple[DataFrame, dict[str, Field]]:
-    """Add what a Field needs for every name of a VARIANT object, and the fields by name.
+    """Add the columns of a Field for every path into a VARIANT, and the fields by name.
 
-    nested maps a further field name to (parent, path in the parent). Every projection here
-    computes each of its expressions once for the next one to use.
+    Each projection computes an expression once that the next one uses several times.
     """
-    nested = nested or {}
-    entries = F.expr(f"try_variant_get({record}, '$', 'map<string, variant>')")
-    values = df.withColumn("_entries", entries).withColumns(
-        {
-            **{f"_{n}": F.col("_entries")[n] for n in names},
-            **{
-                f"_{n}": F.try_variant_get(F.col("_entries")[parent], f"$.{path}", "variant")
-                for n, (parent, path) in nested.items()
-            },
-        }
+    values = df.selectExpr(
+        "*",
+        *[f"try_variant_get({record}, '$.{p}', 'variant') AS _{n}" for n, p in paths.items()],
     )
-    every = [*names, *nested]
-    typed = values.select(
+    typed = values.selectExpr(
         *df.columns,
-        *[F.schema_of_variant(f"_{n}").alias(f"_{n}_kind") for n in every],
-        *[F.try_variant_get(f"_{n}", "$", "string").alias(f"_{n}_text") for n in every],
+        *[f"schema_of_variant(_{n}) AS _{n}_kind" for n in paths],
+        *[f"try_variant_get(_{n}, '$', 'string') AS _{n}_text" for n in paths],
     )
-    fields = {}
-    for n in every:
-        fields[n] = Field(F.col(f"_{n}_kind"), F.col(f"_{n}_text"), F.col(f"_{n}_falsy"))
-    return typed.withColumns({f"_{n}_falsy": _is_falsy(f) for n, f in fields.items()}), fields
+    fields = {n: Field(f"_{n}_kind", f"_{n}_text", f"_{n}_falsy") for n in paths}
+    return typed.selectExpr("*", *[f"{_is_falsy(f)} AS {f.falsy}" for f in fields.values()]), fields
 
 
-def _is_falsy(f: Field) -> Column:
+def _is_falsy(f: Field) -> str:
     """Missing, null, false, zero, empty text, empty array or empty object."""
-    empty = f.text.isin("false", "0", "0.0", "-0.0", "[]", "{}")
-    return f.text.isNull() | F.when(f.is_text, f.text == "").otherwise(empty)
+    empty = f"{f.text} IN ('false', '0', '0.0', '-0.0', '[]', '{{}}')"
+    return f"({f.text} IS NULL OR if({f.kind} = 'STRING', {f.text} = '', {empty}))"
 
 
-def strip(text: Column) -> Column:
+def strip(text: str) -> str:
     """Trim every kind of white space, not only blanks."""
-    return F.btrim(text, F.lit(_SPACE))
+    return f"btrim({text}, '{_SPACE}')"
 
 
-def whole_number(text: Column) -> Column:
+def whole_number(text: str) -> str:
     """Integer text as INT; null when it is not an integer or does not fit."""
     number = strip(text)
-    return F.when(number.rlike(_INT), F.replace(number, F.lit("_"), F.lit("")).try_cast("int"))
+    return f"if({number} RLIKE r'{_INT}', try_cast(replace({number}, '_', '') AS INT), NULL)"
 
 
-def int_or_zero(f: Field) -> Column:
+def int_or_zero(f: Field) -> str:
     """Falsy is 0, true is 1, fractions are cut off; null when unreadable or beyond 32 bits."""
-    return (
-        F.when(f.falsy, 0)
-        .when(f.is_text, whole_number(f.text))
-        .when(f.kind == "BOOLEAN", 1)
-        .when(f.kind == "DOUBLE", f.text.cast("double").try_cast("int"))
-        .otherwise(F.substring_index(f.text, ".", 1).try_cast("int"))
-    )
+    return f"""CASE WHEN {f.falsy} THEN 0
+        WHEN {f.kind} = 'BIGINT' THEN try_cast({f.text} AS INT)
+        WHEN {f.kind} = 'STRING' THEN {whole_number(f.text)}
+        WHEN {f.kind} = 'BOOLEAN' THEN 1
+        WHEN {f.kind} = 'DOUBLE' THEN try_cast(CAST({f.text} AS DOUBLE) AS INT)
+        ELSE try_cast(substring_index({f.text}, '.', 1) AS INT) END"""
 
 
-def is_bad_int(f: Field, value: Column) -> Column:
-    """Whether int_or_zero gave null for something that is no number, not for its size."""
-    is_number = f.true(F.when(f.is_text, strip(f.text).rlike(_INT)).otherwise(~f.is_nested))
-    return value.isNull() & ~is_number
+def is_bad_int(f: Field, value: str) -> str:
+    """Whether the int_or_zero value is null for something that is no number, not for its size."""
+    is_number = f"if({f.is_text}, {strip(f.text)} RLIKE r'{_INT}', NOT {f.is_nested})"
+    return f"({value} IS NULL AND NOT {is_number})"
 
 
-def flag_or_true(f: Field) -> Column:
+def flag_or_true(f: Field) -> str:
     """Truthiness; a missing field is true, and so is any non-empty text."""
-    return f.missing | ~f.falsy
+    return f"({f.missing} OR NOT {f.falsy})"
 
 
-def coordinate(f: Field) -> Column:
+def coordinate(f: Field) -> str:
     """Number, numeric text or true as DOUBLE; null for anything else."""
     text = strip(f.text)
-    number = F.when(text.rlike(_FLOAT), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
-    return F.when(
-        ~f.falsy,
-        F.when(f.is_text, number)
-        .when(f.kind == "BOOLEAN", 1.0)
-        .otherwise(f.text.try_cast("double")),
-    )
+    return f"""CASE WHEN {f.falsy} THEN NULL
+        WHEN {f.kind} = 'STRING' THEN
+            if({text} RLIKE r'{_FLOAT}', try_cast(replace({text}, '_', '') AS DOUBLE), NULL)
+        WHEN {f.kind} = 'BOOLEAN' THEN 1.0D
+        ELSE try_cast({f.text} AS DOUBLE) END"""
 
 
-def code_text(f: Field) -> Column:
+def code_text(f: Field) -> str:
     """A station code as text; a missing one is empty, a JSON null has none."""
-    return (
-        F.when(f.missing, "").when(f.kind == "BOOLEAN", F.initcap(f.text)).otherwise(f.text)
-    )
+    text = f"if({f.kind} = 'BOOLEAN', initcap({f.text}), {f.text})"
+    return f"if({f.missing}, '', {text})"
 
 
-def district(code: Column) -> Column:
+def district(code: str) -> str:
     """All but the last three characters as a number, when that is 1 to 99."""
-    number = whole_number(F.left(code, F.length(code) - 3))
-    return F.when((F.length(code) > 3) & number.between(1, 99), number)
+    number = whole_number(f"left({code}, length({code}) - 3)")
+    return f"if(length({code}) > 3 AND {number} BETWEEN 1 AND 99, {number}, NULL)"
 
 
-def instant(text: Column) -> Column:
+def instant(text: str) -> str:
     """Extended ISO date or date-time text as TIMESTAMP, its offset applied; else null."""
-    # To the forms a cast reads: T between date and time, minutes, and a colon in the offset.
-    time = F.regexp_replace(text, r"^(.{10}).(\d{2})(?=$|Z|[+-])", "$1T$2:00")
-    time = F.regexp_replace(time, r"([+-]\d{2})(\d{2})$", "$1:$2")
-    time = F.overlay(F.replace(time, F.lit(","), F.lit(".")), F.lit("T"), 11, 1)
-    cast = F.when(F.length(text) == 10, text).otherwise(time).try_cast("timestamp")
-    return F.when(text.rlike(_TIME), cast)
+    # To the form a cast reads: T, minutes, seconds, a point, and a colon in the offset.
+    time = f"overlay(replace({text}, ',', '.') PLACING 'T' FROM 11 FOR 1)"
+    time = f"regexp_replace({time}, r'^(.{{13}})(?=$|Z|[+-])', '$1:00')"
+    time = f"regexp_replace({time}, r'^(.{{16}})(?=$|Z|[+-])', '$1:00')"
+    time = f"regexp_replace({time}, r'([+-]\\d{{2}})(\\d{{2}})$', '$1:$2')"
+    time = f"try_cast(if(length({text}) = 10, {text}, {time}) AS TIMESTAMP)"
+    return f"if({text} RLIKE r'{_TIME}', {time}, NULL)"

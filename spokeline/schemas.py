@@ -3,8 +3,17 @@
 from pyspark.sql import types as T
 
 
-def _table(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "long": T.LongType(),
+    "double": T.DoubleType(), "boolean": T.BooleanType(), "timestamp": T.TimestampType(),
+    "date": T.DateType(), "variant": T.VariantType(),
+}
+
+
+def _table(columns: str) -> T.StructType:
+    """A schema from 'name type, ...', without needing a session as the DDL parser does."""
+    pairs = [column.split() for column in columns.split(",")]
+    return T.StructType([T.StructField(name, _TYPES[kind]) for name, kind in pairs])
 
 
 # The longest station code and event type a table accepts.
