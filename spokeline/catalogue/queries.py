@@ -19,7 +19,7 @@ from spokeline.streaming import feed, ingest, topics
 
 
 def _since(hours: int):
-    return as_of() - F.expr(f"INTERVAL {hours} HOURS")
+    return metrics.hours_before(as_of(), hours)
 
 
 def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:

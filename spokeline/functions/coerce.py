@@ -82,10 +82,10 @@ def with_fields(
 
     Each projection computes an expression once that the next one uses several times.
     """
-    values = df.selectExpr(
-        "*",
-        *[f"try_variant_get({record}, '$.{p}', 'variant') AS _{n}" for n, p in paths.items()],
+    entries = df.selectExpr(
+        "*", f"try_variant_get({record}, '$', 'map<string, variant>') AS _entries"
     )
+    values = entries.selectExpr(*df.columns, *[f"{_entry(p)} AS _{n}" for n, p in paths.items()])
     typed = values.selectExpr(
         *df.columns,
         *[f"schema_of_variant(_{n}) AS _{n}_kind" for n in paths],
@@ -95,6 +95,12 @@ def with_fields(
     return typed.selectExpr("*", *[f"{_is_falsy(f)} AS {f.falsy}" for f in fields.values()]), fields
 
 
+def _entry(path: str) -> str:
+    name, _, inner = path.partition(".")
+    entry = f"_entries['{name}']"
+    return f"try_variant_get({entry}, '$.{inner}', 'variant')" if inner else entry
+
+
 def _is_falsy(f: Field) -> str:
     """Missing, null, false, zero, empty text, empty array or empty object."""
     empty = f"{f.text} IN ('false', '0', '0.0', '-0.0', '[]', '{{}}')"

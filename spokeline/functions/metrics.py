@@ -12,6 +12,10 @@ ALERT_COLOURS = {
 LOW_BIKES = 3
 
 
+def hours_before(instant: Column, hours: int) -> Column:
+    return instant - F.expr(f"INTERVAL {hours} HOURS")
+
+
 def fill_rate(bikes: Column, capacity: Column) -> Column:
     """Per cent of the capacity, 1 decimal; null for capacity 0."""
     return F.round(100.0 * bikes / F.nullif(capacity, F.lit(0)), 1)

@@ -3,6 +3,8 @@
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spokeline.session import estimated_size
+
 
 def latest_one(df: DataFrame, keys: list[str], time: str, tie_break: list[str]) -> DataFrame:
     """One row per key: the newest, a null time counting as newest, ties by tie_break.
@@ -35,9 +37,9 @@ def latest_with_ties(
 
 
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst estimates df to be below the broadcast threshold of the session."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return size <= df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    """Whether Catalyst expects df to be below the broadcast threshold of the session."""
+    conf = df.sparkSession._jsparkSession.sessionState().conf()
+    return estimated_size(df) <= conf.autoBroadcastJoinThreshold()
 
 
 def fold(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from spokeline.functions import metrics
 from spokeline.schemas import DISTRICTS, HOURLY
 
-WINDOW = F.expr("INTERVAL 24 HOURS")
+WINDOW_HOURS = 24
 
 
 def district_rollup(stations: DataFrame, latest: DataFrame, snapshot_time: Column) -> DataFrame:
@@ -40,7 +40,7 @@ def hourly_trend(status: DataFrame, as_of: Column, align_to_hour: bool = False)
     The window starts 24 hours before as_of to the second, so its oldest hour is partial;
     align_to_hour starts it at the full hour instead.
     """
-    start = as_of - WINDOW
+    start = metrics.hours_before(as_of, WINDOW_HOURS)
     recent = (
         status.filter(F.col("ingested_at") >= F.date_trunc("hour", start))
         if align_to_hour

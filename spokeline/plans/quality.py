@@ -5,7 +5,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-LAST_HOUR = F.expr("INTERVAL 1 HOUR")
+from spokeline.functions import metrics
+
 # An empty table fails the check only if its label contains this.
 FATAL = "stations"
 
@@ -18,12 +19,11 @@ def row_counts(
     stations: DataFrame, status: DataFrame, events: DataFrame, as_of: Column
 ) -> DataFrame:
     """(label, row_count, fatal, passed) for all stations, and status and events of one hour."""
+    start = metrics.hours_before(as_of, 1)
     checked = {
         "raw_stations": stations,
-        "raw_station_status (last hour)": status.filter(
-            F.col("ingested_at") > as_of - LAST_HOUR
-        ),
-        "stream_events (last hour)": events.filter(F.col("consumed_at") > as_of - LAST_HOUR),
+        "raw_station_status (last hour)": status.filter(F.col("ingested_at") > start),
+        "stream_events (last hour)": events.filter(F.col("consumed_at") > start),
     }
     counts = [
         rows.agg(F.count("*").alias("row_count")).select(F.lit(label).alias("label"), "row_count")

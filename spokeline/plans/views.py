@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from spokeline.functions import metrics
 from spokeline.operators.keyed import latest_with_ties
-from spokeline.operators.rollups import WINDOW
+from spokeline.operators.rollups import WINDOW_HOURS
 
 KPI_TOTALS = ["total_bikes", "total_docks", "total_stations", "total_ebikes", "empty_stations"]
 
@@ -34,7 +34,7 @@ def top_active_stations(status: DataFrame, as_of: Column, limit: int = 10) -> Da
     """The stations with most status rows in the last 24 hours; ties by station code."""
     bikes = F.col("num_bikes_available")
     return (
-        status.filter(F.col("ingested_at") > as_of - WINDOW)
+        status.filter(F.col("ingested_at") > metrics.hours_before(as_of, WINDOW_HOURS))
         .groupBy("station_code")
         .agg(
             F.count("*").alias("snapshot_count"),

@@ -4,7 +4,7 @@ import tempfile
 import uuid
 from datetime import datetime
 
-from pyspark.sql import Column, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SETTINGS = {
@@ -40,3 +40,21 @@ def work_folder(spark: SparkSession, name: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         base = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     return f"{base.rstrip('/')}/spokeline/{name}-{uuid.uuid4().hex}"
+
+
+def estimated_size(df: DataFrame) -> int:
+    """Bytes that Catalyst expects df to have, from file sizes and statistics."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """df on all cores before costly row-by-row work, if it may be too small to be split.
+
+    Anything larger has enough splits of its own and is not shuffled.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    if df.isStreaming or estimated_size(df) > split:
+        return df
+    return df.repartition(cores)
