@@ -51,6 +51,7 @@ def hourly_trend(spark, sf_dir):
 
 
 def hourly_trend_station(spark, sf_dir):
+    """The station is the bound parameter of this result."""
     return plain_times(views.station_trend(_trend(spark, sf_dir), "7", NOW))
 
 
@@ -169,10 +170,9 @@ def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_parse(spark, sf_dir):
-    parsed = _parsed(spark, sf_dir)
-    stations = records.station_rows(parsed)
-    status = records.status_rows(parsed).drop("station_code", "ingested_at", "pos")
-    return plain_times(stations.drop("pos").join(status, "source"))
+    """The station and status columns of all good records."""
+    rows = records.accepted_rows(_parsed(spark, sf_dir))
+    return plain_times(rows.drop("pos", "reason", "raw"))
 
 
 def export_rejects(spark, sf_dir):

@@ -184,4 +184,5 @@ def messages(events: DataFrame) -> DataFrame:
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table as a file stream."""
     schema = table(spark, sf_dir, "events").schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    files = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet")
+    return files.parquet(sf_dir)
