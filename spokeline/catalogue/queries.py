@@ -22,20 +22,14 @@ def _since(hours: int):
     return metrics.hours_before(as_of(), hours)
 
 
-def _latest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = standins.status(spark, sf_dir)
-    return latest_one(rows, ["station_code"], "ingested_at", ["event_id"])
-
-
 def _current(spark: SparkSession, sf_dir: str) -> DataFrame:
     return views.current_status(standins.stations(spark, sf_dir), standins.status(spark, sf_dir))
 
 
 def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    latest = rollups.latest_counts(standins.status(spark, sf_dir), ["event_id"])
     snapshot_time = F.date_trunc("minute", as_of())
-    return rollups.district_rollup(
-        standins.stations(spark, sf_dir), _latest(spark, sf_dir), snapshot_time
-    )
+    return rollups.district_rollup(standins.stations(spark, sf_dir), latest, snapshot_time)
 
 
 def district_rollup(spark, sf_dir):
@@ -60,7 +54,8 @@ def current_status(spark, sf_dir):
 
 
 def latest_status_one(spark, sf_dir):
-    return plain_times(_latest(spark, sf_dir))
+    rows = standins.status(spark, sf_dir)
+    return plain_times(latest_one(rows, ["station_code"], "ingested_at", ["event_id"]))
 
 
 def critical_stations(spark, sf_dir):
@@ -99,7 +94,7 @@ def station_map(spark, sf_dir):
 def _rollup_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The rollups of every hour, each of the rows loaded at that hour."""
     rows = standins.status(spark, sf_dir).withColumn("hour", F.col("ingested_at"))
-    latest = latest_one(rows, ["station_code", "hour"], "ingested_at", ["event_id"])
+    latest = rollups.latest_counts(rows, ["event_id"], ["station_code", "hour"])
     return rollups.district_rollup(standins.stations(spark, sf_dir), latest, F.col("hour"))
 
 

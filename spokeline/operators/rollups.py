@@ -4,11 +4,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spokeline.functions import metrics
+from spokeline.operators.keyed import latest_one
 from spokeline.schemas import DISTRICTS, HOURLY
 
 WINDOW_HOURS = 24
 
 
+def latest_counts(
+    status: DataFrame, tie_break: list[str], keys: list[str] = ("station_code",)
+) -> DataFrame:
+    """The newest counts of every station: the input of a district rollup.
+
+    Only these columns enter the aggregate; Catalyst cannot drop others from inside it.
+    """
+    counts = ["num_bikes_available", "num_docks_available", "num_ebikes"]
+    columns = dict.fromkeys([*keys, *counts, "ingested_at", *tie_break])
+    return latest_one(status.select(*columns), list(keys), "ingested_at", tie_break)
+
+
 def district_rollup(stations: DataFrame, latest: DataFrame, snapshot_time: Column) -> DataFrame:
     """Totals per known district over stations with one latest status row each.
 

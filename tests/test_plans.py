@@ -24,7 +24,7 @@ def test_scans_read_only_what_they_need(spark):
     plan = plan_of(queries.top_active_stations(spark, SF))
     assert "ReadSchema: struct<ts:timestamp_ntz,user_id:bigint,value:double>" in plan
     plan = plan_of(queries.district_rollup(spark, SF))
-    assert "c_name" not in plan and "c_acctbal" not in plan
+    assert "c_name" not in plan and "c_acctbal" not in plan and "event_type" not in plan
 
 
 @pytest.mark.parametrize("name", [n for n in queries.QUERIES if n not in (
