@@ -6,8 +6,8 @@ what they stand for, so all tasks agree on them without a shared dictionary, and
 get the same names in their interior. Spark then groups names over all documents:
 
 1. Each document gives its high-level phrases (several top symbols, at least a window long) and
-   first-round symbols: of each window the one with the smallest name, which depends on nothing
-   outside the window. An aggregate finds each name's smallest and largest document.
+   first-round symbols: of each window the one with the smallest name, taken together with the
+   words after it, so that nothing outside the window counts. An aggregate finds each name's smallest and largest document.
 2. A phrase that a smaller document has too repeats as a whole. Of windows outside such phrases,
    those whose first-round symbol is shared are candidates, and an aggregate of their 128-bit
    contents finds which a smaller document has. All others need no comparison.
@@ -29,6 +29,8 @@ from spokeline.llm.words import Words, mix, prefix_sums, segment_hash, slices, w
 WINDOW = 50
 ROUNDS = 12
 PHRASE = 3
+#: Words that name the symbol chosen for a window: enough to tell repeats from common expressions.
+CONTEXT = 12
 
 _PAIR = np.uint64(0x9E3779B97F4A7C15)
 _RUN = np.uint64(0xD1B54A32D192ED03)
@@ -39,10 +41,11 @@ def _pair(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * _PAIR + right)
 
 
-def window_symbols(names: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """First-round names at each word, and the word whose symbol stands for the window from a word.
+def window_symbols(names: np.ndarray) -> np.ndarray:
+    """The word whose first-round symbol stands for the window from each word.
 
-    Both depend on the window's words only; of equal names the first counts."""
+    It has the smallest name of the symbols that begin inside the window with CONTEXT words to go;
+    of equal names the first. It depends on the window's words only."""
     n = len(names)
     left = (names >> np.uint64(63)).astype(bool)
     pair = np.zeros(n, dtype=bool)
@@ -53,14 +56,14 @@ def window_symbols(names: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarra
     order = mix(symbol)
     order[1:][pair[:-1]] = np.uint64(2**64 - 1)  # the second word of a pair begins no symbol
     best = np.arange(n, dtype=np.int64)
-    size, span = 1, width - 2
+    size, span = 1, WINDOW - CONTEXT
     while size < span:
         step = min(size, span - size)
         other = best[step:]
         own = best[: len(other)]
         best = np.where(order[other] < order[own], other, own)
         size += step
-    return symbol, best[1:]
+    return best[1:]
 
 
 def phrases(found: Words, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -104,7 +107,7 @@ class _Slice:
         self.words = words(column)
         self.h1, self.h2 = self.words.hashes(0), self.words.hashes(1)
         self.sums = prefix_sums(self.h1, 0), prefix_sums(self.h2, 1)
-        self.symbol, self.chosen = window_symbols(self.h1, WINDOW)
+        self.chosen = window_symbols(self.h1)
         self.phrase_text, self.phrase_start, self.phrase_end = phrases(self.words, self.h1)
 
     def keys(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -112,6 +115,10 @@ class _Slice:
         first = segment_hash(self.sums[0], start, end, 0) + length
         return mix(first).view(np.int64), segment_hash(self.sums[1], start, end, 1).view(np.int64)
 
+    def symbols(self, at: np.ndarray) -> np.ndarray:
+        """Names of the symbols that begin at the words, with the words after them."""
+        return mix(segment_hash(self.sums[0], at, at + CONTEXT, 0)).view(np.int64)
+
     def windows(self, t: int) -> np.ndarray:
         """First words of the windows of text t."""
         return np.arange(self.words.first[t], max(self.words.first[t], self.words.first[t + 1] - WINDOW + 1))
@@ -139,7 +146,7 @@ def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         n = np.maximum(s.words.count - WINDOW + 1, 0)
         start = np.repeat(s.words.first[:-1], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         chosen = np.unique(s.chosen[start])
-        name, of = _unique(s.symbol[chosen].view(np.int64), text[chosen].astype(np.int64))
+        name, of = _unique(s.symbols(chosen), text[chosen].astype(np.int64))
         h1, h2 = s.keys(s.phrase_start, s.phrase_end)
         phrase = ids[s.phrase_text]
         yield _rows([name, h1], [np.zeros_like(name), h2], [ids[of], phrase])
@@ -167,7 +174,7 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not symbols[t]:
                 continue
             start = s.windows(t)
-            shared = np.isin(s.symbol[s.chosen[start]].view(np.int64), np.array(symbols[t], dtype=np.int64))
+            shared = np.isin(s.symbols(s.chosen[start]), np.array(symbols[t], dtype=np.int64))
             for a, b in _inside(s, t, repeated[t]):
                 shared[a - s.words.first[t] : b - WINDOW + 1 - s.words.first[t]] = False
             start = start[shared]
