@@ -18,9 +18,11 @@ document because a phrase covers it is given by the smaller document that has th
 """
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -101,14 +103,26 @@ def phrases(found: Words, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np
 
 
 class _Slice:
-    """What the steps need of a run of documents."""
+    """What the steps need of a run of documents, each part computed when it is first used."""
 
     def __init__(self, column: pa.Array):
         self.words = words(column)
-        self.h1, self.h2 = self.words.hashes(0), self.words.hashes(1)
-        self.sums = prefix_sums(self.h1, 0), prefix_sums(self.h2, 1)
-        self.chosen = window_symbols(self.h1)
-        self.phrase_text, self.phrase_start, self.phrase_end = phrases(self.words, self.h1)
+
+    @cached_property
+    def h1(self) -> np.ndarray:
+        return self.words.hashes(0)
+
+    @cached_property
+    def sums(self) -> tuple[np.ndarray, np.ndarray]:
+        return prefix_sums(self.h1, 0), prefix_sums(self.words.hashes(1), 1)
+
+    @cached_property
+    def chosen(self) -> np.ndarray:
+        return window_symbols(self.h1)
+
+    @cached_property
+    def phrases(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return phrases(self.words, self.h1)
 
     def keys(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         length = (end - start).astype(np.uint64)
@@ -147,9 +161,9 @@ def _names(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start = np.repeat(s.words.first[:-1], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         chosen = np.unique(s.chosen[start])
         name, of = _unique(s.symbols(chosen), text[chosen].astype(np.int64))
-        h1, h2 = s.keys(s.phrase_start, s.phrase_end)
-        phrase = ids[s.phrase_text]
-        yield _rows([name, h1], [np.zeros_like(name), h2], [ids[of], phrase])
+        of_phrase, start, end = s.phrases
+        h1, h2 = s.keys(start, end)
+        yield _rows([name, h1], [np.zeros_like(name), h2], [ids[of], ids[of_phrase]])
 
 
 def _inside(s: _Slice, t: int, pairs: list) -> list[tuple[int, int]]:
@@ -157,8 +171,9 @@ def _inside(s: _Slice, t: int, pairs: list) -> list[tuple[int, int]]:
     wanted = {(x["h1"], x["h2"]) for x in pairs or ()}
     if not wanted:
         return []
-    lo, hi = np.searchsorted(s.phrase_text, [t, t + 1])
-    start, end = s.phrase_start[lo:hi], s.phrase_end[lo:hi]
+    text, start, end = s.phrases
+    lo, hi = np.searchsorted(text, [t, t + 1])
+    start, end = start[lo:hi], end[lo:hi]
     h1, h2 = s.keys(start, end)
     found = [x in wanted for x in zip(h1.tolist(), h2.tolist(), strict=True)]
     return [(int(a), int(b)) for a, b, hit in zip(start, end, found, strict=True) if hit]
@@ -167,12 +182,13 @@ def _inside(s: _Slice, t: int, pairs: list) -> list[tuple[int, int]]:
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Contents of the windows whose symbol is shared and that no repeated phrase covers."""
     for batch in slices(batches):
+        batch = batch.filter(pc.fill_null(pc.greater(pc.list_value_length(batch.column("symbols")), 0), False))
+        if not batch.num_rows:
+            continue
         s = _Slice(batch.column("text"))
         out: tuple[list, list, list] = ([], [], [])
         ids, symbols, repeated = (batch.column(c).to_pylist() for c in ("doc_id", "symbols", "phrases"))
         for t, doc_id in enumerate(ids):
-            if not symbols[t]:
-                continue
             start = s.windows(t)
             shared = np.isin(s.symbols(s.chosen[start]), np.array(symbols[t], dtype=np.int64))
             for a, b in _inside(s, t, repeated[t]):
@@ -184,38 +200,59 @@ def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _rows(*out)
 
 
+def _covered(s: _Slice, t: int, repeated: list, windows: list) -> np.ndarray:
+    """Which words of text t the repeated phrases and windows cover."""
+    lo, hi = int(s.words.first[t]), int(s.words.first[t + 1])
+    change = np.zeros(hi - lo + 1, dtype=np.int64)
+    for a, b in _inside(s, t, repeated):
+        change[a - lo] += 1
+        change[b - lo] -= 1
+    if windows:
+        wanted = {(x["h1"], x["h2"]) for x in windows}
+        start = s.windows(t)
+        pairs = zip(*(x.tolist() for x in s.keys(start, start + WINDOW)), strict=True)
+        hit = start[[x in wanted for x in pairs]] - lo
+        np.add.at(change, hit, 1)
+        np.add.at(change, hit + WINDOW, -1)
+    return np.cumsum(change)[:-1] > 0
+
+
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        s = _Slice(batch.column("text"))
-        ids, repeated, windows = (batch.column(c).to_pylist() for c in ("doc_id", "phrases", "windows"))
-        kept, removed = [], []
-        for t in range(len(ids)):
-            lo, hi = int(s.words.first[t]), int(s.words.first[t + 1])
-            change = np.zeros(hi - lo + 1, dtype=np.int64)
-            for a, b in _inside(s, t, repeated[t]):
-                change[a - lo] += 1
-                change[b - lo] -= 1
-            if windows[t]:
-                wanted = {(x["h1"], x["h2"]) for x in windows[t]}
-                start = s.windows(t)
-                pairs = zip(*(x.tolist() for x in s.keys(start, start + WINDOW)), strict=True)
-                hit = start[[x in wanted for x in pairs]] - lo
-                np.add.at(change, hit, 1)
-                np.add.at(change, hit + WINDOW, -1)
-            gone = np.cumsum(change)[:-1] > 0
-            # A kept word and the byte after it, which becomes the blank between words.
-            at = np.flatnonzero(~gone) + lo
-            size = s.words.end[at] - s.words.start[at] + 1
-            ends = np.cumsum(size)
-            place = np.repeat(s.words.start[at] - (ends - size), size) + np.arange(size.sum())
-            text = np.append(s.words.data, np.uint8(32))[np.minimum(place, len(s.words.data))]
-            text[ends - 1] = 32
-            kept.append(text[:-1].tobytes().decode("utf-8", "surrogatepass") if len(text) else "")
-            removed.append(int(gone.sum()))
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(kept, pa.string()), pa.array(s.words.count), pa.array(removed, pa.int64())],
-            ["doc_id", "text", "n_words", "n_removed"],
+        all_words = words(batch.column("text"))
+        gone = np.zeros(len(all_words.start), dtype=bool)
+        listed = np.flatnonzero(
+            pc.fill_null(pc.list_value_length(batch.column("phrases")), 0).to_numpy(zero_copy_only=False)
+            + pc.fill_null(pc.list_value_length(batch.column("windows")), 0).to_numpy(zero_copy_only=False)
         )
+        if len(listed):
+            part = batch.take(pa.array(listed))
+            s = _Slice(part.column("text"))
+            lists = zip(listed, part.column("phrases").to_pylist(), part.column("windows").to_pylist(), strict=True)
+            for i, (t, repeated, windows) in enumerate(lists):
+                gone[all_words.first[t] : all_words.first[t + 1]] = _covered(s, i, repeated, windows)
+        before = np.concatenate([[0], np.cumsum(gone)])[all_words.first]
+        text = _joined(all_words, np.flatnonzero(~gone), all_words.first - before)
+        counts = pa.array(all_words.count), pa.array(np.diff(before))
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), text, *counts], ["doc_id", "text", "n_words", "n_removed"])
+
+
+def _joined(found: Words, kept: np.ndarray, first: np.ndarray) -> pa.Array:
+    """The kept words of each text with a blank between; text t has kept[first[t]:first[t + 1]]."""
+    start = found.start[kept]
+    size = found.end[kept] - start + 1  # a word and the byte after it, which becomes the blank
+    ends = np.cumsum(size)
+    place = np.repeat(start - (ends - size), size)
+    place += np.arange(len(place))
+    data = np.append(found.data, np.uint8(32))[place]
+    data[ends - 1] = 32
+    # No blank after a text's last word.
+    some = np.flatnonzero(np.diff(first))
+    keep = np.ones(len(data), dtype=bool)
+    keep[ends[first[some + 1] - 1] - 1] = False
+    at = np.concatenate([[0], ends])[first] - np.concatenate([[0], np.cumsum(np.diff(first) > 0)])
+    offsets = pa.py_buffer(at.astype(np.int32).tobytes())
+    return pa.StringArray.from_buffers(len(first) - 1, offsets, pa.py_buffer(data[keep].tobytes()))
 
 
 def _shared(keys: DataFrame) -> DataFrame:

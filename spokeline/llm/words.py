@@ -75,6 +75,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row, and where each begins and the last ends; null: empty."""
+    if not len(column):
+        return np.zeros(0, dtype=np.uint8), np.zeros(1, dtype=np.int64)
     if column.null_count:
         column = column.fill_null("")
     wide = pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type)
