@@ -1,17 +1,27 @@
 """The queries of this subpackage, and SQL for those that SQL can express."""
 
+from spokeline.llm.chat import ORACLE_SQL as CHAT_SQL
+from spokeline.llm.chat import op1_chat_format
 from spokeline.llm.contamination import ORACLE_SQL as CONTAMINATION_SQL
 from spokeline.llm.contamination import op5_decontamination
+from spokeline.llm.fingerprints import op9_fingerprints
 from spokeline.llm.neardups import op10_near_dedup
 from spokeline.llm.substrings import op3_substring_dedup
+from spokeline.llm.tokencounts import op4_token_counts
 
 QUERIES = {
     query.__name__: query
     for query in (
+        op1_chat_format,
         op3_substring_dedup,
+        op4_token_counts,
         op5_decontamination,
+        op9_fingerprints,
         op10_near_dedup,
     )
 }
 
-ORACLES: dict[str, str] = {"op5_decontamination": CONTAMINATION_SQL}
+ORACLES: dict[str, str] = {
+    "op1_chat_format": CHAT_SQL,
+    "op5_decontamination": CONTAMINATION_SQL,
+}
