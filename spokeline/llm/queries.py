@@ -6,6 +6,7 @@ from spokeline.llm.contamination import ORACLE_SQL as CONTAMINATION_SQL
 from spokeline.llm.contamination import op5_decontamination
 from spokeline.llm.fingerprints import op9_fingerprints
 from spokeline.llm.neardups import op10_near_dedup
+from spokeline.llm.quality import op6_quality
 from spokeline.llm.substrings import op3_substring_dedup
 from spokeline.llm.tokencounts import op4_token_counts
 
@@ -16,6 +17,7 @@ QUERIES = {
         op3_substring_dedup,
         op4_token_counts,
         op5_decontamination,
+        op6_quality,
         op9_fingerprints,
         op10_near_dedup,
     )
