@@ -5,6 +5,7 @@ from spokeline.llm.chat import op1_chat_format
 from spokeline.llm.contamination import ORACLE_SQL as CONTAMINATION_SQL
 from spokeline.llm.contamination import op5_decontamination
 from spokeline.llm.fingerprints import op9_fingerprints
+from spokeline.llm.mixing import op7_mix
 from spokeline.llm.neardups import op10_near_dedup
 from spokeline.llm.quality import op6_quality
 from spokeline.llm.substrings import op3_substring_dedup
@@ -18,6 +19,7 @@ QUERIES = {
         op4_token_counts,
         op5_decontamination,
         op6_quality,
+        op7_mix,
         op9_fingerprints,
         op10_near_dedup,
     )
