@@ -37,7 +37,7 @@ FOUND = "doc_id long, item_id long, n_shared long, n_shingles long"
 def _shingles(column: pa.Array) -> tuple[Words, np.ndarray, np.ndarray]:
     """Words, and shingles with A to Z lower-cased."""
     found = words(column)
-    return found, *shingle_hashes(found, found.hashes(0, _LOWER[found.data]), SHINGLE)
+    return found, *shingle_hashes(found.first, found.hashes(0, _LOWER[found.data]), SHINGLE)
 
 
 class Items:

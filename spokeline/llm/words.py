@@ -141,14 +141,14 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def shingle_hashes(found: Words, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def shingle_hashes(first: np.ndarray, hashes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the runs of k words of each text, and the first of each text.
 
-    A text of 1 to k - 1 words has one shingle, all its words."""
-    count = found.count
+    Text t has the word hashes first[t]:first[t + 1]; one of 1 to k - 1 words has one shingle."""
+    count = np.diff(first)
     shingles = np.where(count >= k, count - k + 1, np.minimum(count, 1))
-    first = np.concatenate([[0], np.cumsum(shingles)])
+    begin = np.concatenate([[0], np.cumsum(shingles)])
     text = np.repeat(np.arange(len(count)), shingles)
-    start = found.first[text] + np.arange(first[-1]) - first[text]
-    end = np.minimum(start + k, found.first[text + 1])
-    return mix(segment_hash(prefix_sums(hashes, 1), start, end, 1) + (end - start).astype(np.uint64)), first
+    start = first[text] + np.arange(begin[-1]) - begin[text]
+    end = np.minimum(start + k, first[text + 1])
+    return mix(segment_hash(prefix_sums(hashes, 1), start, end, 1) + (end - start).astype(np.uint64)), begin
