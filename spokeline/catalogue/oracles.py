@@ -188,6 +188,14 @@ TOPIC = f"""{STATUS}, consumed AS (
             WHEN bikes < 60 THEN 'station code is missing' ELSE 'message is not JSON' END AS reason
     FROM base)"""
 
+# All records, and those of even events five minutes later.
+LOADS = f"""WITH {RECORDS}, loads AS (
+    SELECT r.* EXCLUDE (last_reported), {NOW} + INTERVAL 5 MINUTES * n AS ingested_at,
+           CASE WHEN event_type = 'purchase' THEN {NOW} + INTERVAL 5 MINUTES * n
+               ELSE last_reported END AS last_reported
+    FROM rows r, (SELECT unnest([0, 1]) AS n)
+    WHERE n = 0 OR CAST(source AS BIGINT) % 2 = 0)"""
+
 ORACLES = {
     "district_rollup": f"{WITH_ROLLUP} SELECT * FROM rollup_rows",
     "hourly_trend": f"WITH {STATUS} {_trend(NOW)}",
@@ -271,7 +279,7 @@ ORACLES = {
         SELECT key, station_code, name, num_bikes_available, num_docks_available, num_ebikes,
                num_mechanical, capacity, is_renting, lat, lon,
                '2024-01-31T00:00:00' AS produced_at, event_type
-        FROM messages""",
+        FROM messages WHERE reason IS NULL""",
     "status_upsert": """WITH numbered AS (
             SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate,
                        l_partkey, l_suppkey, l_quantity, l_extendedprice) AS first_rank,
@@ -280,7 +288,7 @@ ORACLES = {
                        l_extendedprice DESC) AS last_rank
             FROM lineitem)
         SELECT n.l_orderkey, n.l_partkey, n.l_suppkey, n.l_linenumber, n.l_quantity,
-               n.l_extendedprice, n.l_discount, f.l_returnflag, f.l_linestatus, n.l_shipdate
+               n.l_extendedprice, n.l_discount, n.l_tax, f.l_returnflag, f.l_linestatus, n.l_shipdate
         FROM numbered n JOIN numbered f
             ON n.l_orderkey = f.l_orderkey AND n.l_linenumber = f.l_linenumber
         WHERE n.last_rank = 1 AND f.first_rank = 1""",
@@ -333,4 +341,34 @@ ORACLES = {
                     PARTITION BY station_code ORDER BY source DESC) AS rn FROM rows)
             WHERE rn = 1)
         {_totals('newest', NOW, 's.arrondissement')}""",
+    "export_files": f"""WITH {RECORDS}, numbered AS (
+            SELECT event_id, event_id // 1000 AS file,
+                   row_number() OVER (PARTITION BY event_id // 1000 ORDER BY event_id) - 1 AS pos
+            FROM events)
+        SELECT file, pos, station_code, num_bikes_available, num_docks_available, is_renting
+        FROM rows JOIN numbered ON CAST(source AS BIGINT) = event_id""",
+    "batch_rerun": f"""{LOADS}
+        SELECT station_code, name, capacity, lat, lon, arrondissement, ingested_at FROM (
+            SELECT *, row_number() OVER (PARTITION BY station_code
+                ORDER BY ingested_at DESC, source DESC) AS rn FROM loads)
+        WHERE rn = 1""",
+    "batch_status": f"""{LOADS}, ranked AS (
+            SELECT *, row_number() OVER (newest) AS last_rank,
+                   first_value(is_installed) OVER (oldest) AS first_installed,
+                   first_value(is_returning) OVER (oldest) AS first_returning
+            FROM loads
+            WINDOW newest AS (PARTITION BY station_code, last_reported
+                       ORDER BY ingested_at DESC, source DESC),
+                   oldest AS (PARTITION BY station_code, last_reported ORDER BY ingested_at, source))
+        SELECT station_code, num_bikes_available, num_docks_available, num_ebikes, num_mechanical,
+               first_installed AS is_installed, is_renting, first_returning AS is_returning,
+               last_reported, ingested_at
+        FROM ranked WHERE last_rank = 1""",
+    "batch_rejects": f"""WITH {STATUS}
+        SELECT lpad(CAST(event_id AS VARCHAR), 12, '0') AS source, 0 AS pos,
+               CASE WHEN bikes < 60 THEN 'num_bikes_available is not an integer'
+                   ELSE 'num_bikes_available is out of range' END AS reason,
+               {NOW} + INTERVAL 5 MINUTES * n AS rejected_at
+        FROM base, (SELECT unnest([0, 1]) AS n)
+        WHERE event_type = 'error' AND (n = 0 OR event_id % 2 = 0)""",
 }

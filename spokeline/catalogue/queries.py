@@ -13,11 +13,15 @@ from spokeline.operators import records, rollups
 from spokeline.operators.keyed import fold, latest_one, upsert
 from spokeline.plans import batch, quality, views
 from spokeline.session import configure, utc, work_folder
-from spokeline.sources.exports import explode_records
+from spokeline.sources.exports import explode_records, read_exports
 from spokeline.sources.tables import VersionedTable
 from spokeline.streaming import feed, ingest, topics
 
 
+#: Records of a landed file in export_files.
+EXPORT_SIZE = 1000
+
+
 def _since(hours: int):
     return metrics.hours_before(as_of(), hours)
 
@@ -193,12 +197,11 @@ def _message_columns(messages: DataFrame) -> DataFrame:
 def message_json(spark, sf_dir):
     exports = standins.exports(table(spark, sf_dir, "events"))
     built = records.build_messages(explode_records(exports), as_of())
-    columns = _message_columns(built.select("source", "reason", "key", "value"))
-    return columns
+    return _message_columns(built.where("reason IS NULL").select("key", "value"))
 
 
 def status_upsert(spark, sf_dir):
-    changes = table(spark, sf_dir, "lineitem").drop("l_tax")
+    changes = table(spark, sf_dir, "lineitem")
     order = ["l_shipdate", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
     keep_first = ["l_returnflag", "l_linestatus"]
     return fold(changes, ["l_orderkey", "l_linenumber"], order, keep_first)
@@ -281,6 +284,50 @@ def batch_run(spark, sf_dir):
     return plain_times(batch.Tables(spark, root).districts.read())
 
 
+def export_files(spark, sf_dir):
+    """Good records of landed files with many records each, and their place in the file."""
+    folder = work_folder(spark, "landing")
+    events = table(spark, sf_dir, "events")
+    record = F.expr("substring(text, 2, length(text) - 2)")
+    # A file for every EXPORT_SIZE events, so a group is no larger than that.
+    group = F.floor(F.col("source").cast("long") / EXPORT_SIZE)
+    texts = standins.exports(events).select(group.alias("file"), "source", record.alias("record"))
+    arrays = texts.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("source", "record"))).alias("r"))
+    text = F.concat(F.lit("["), F.array_join("r.record", ",\n"), F.lit("]"))
+    arrays.select("file", text.alias("value")).repartition("file").write.partitionBy("file").text(folder)
+    parsed = records.parse_records(explode_records(read_exports(spark, f"{folder}/*/*.txt")), as_of())
+    rows = records.accepted_rows(parsed)
+    number = F.regexp_extract("source", "file=([0-9]+)", 1).cast("long")
+    return rows.select(number.alias("file"), "pos", "station_code", "num_bikes_available", "num_docks_available", "is_renting")
+
+
+def _loads(spark: SparkSession, sf_dir: str, loads: list[int]) -> batch.Tables:
+    """The tables after some loads: 0 is all exports, 1 those of even events five minutes later."""
+    root = work_folder(configure(spark), "batch")
+    exports = standins.exports(table(spark, sf_dir, "events"))
+    for load in loads:
+        chosen = exports.where(F.col("source").cast("long") % 2 == 0) if load else exports
+        batch.run_batch(spark, chosen, root, AS_OF + timedelta(minutes=5 * load))
+    return batch.Tables(spark, root)
+
+
+def batch_rerun(spark, sf_dir):
+    """The station table after two loads and the first one again."""
+    return plain_times(_loads(spark, sf_dir, [0, 1, 0]).stations.read().drop("source", "pos"))
+
+
+def batch_status(spark, sf_dir):
+    """The status table after two loads and the first one again."""
+    return plain_times(_loads(spark, sf_dir, [0, 1, 0]).status.read().drop("source", "pos"))
+
+
+def batch_rejects(spark, sf_dir):
+    """The rejects of two loads."""
+    tables = _loads(spark, sf_dir, [0, 1])
+    found = spark.read.parquet(f"{tables.root}/rejects/load_id=*")
+    return plain_times(found.select("source", "pos", "reason", "rejected_at"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -290,6 +337,6 @@ QUERIES = {
         fill_labels, recent_events, classify_events, fill_rate_rows, district_parse,
         payload_fields, export_parse, export_rejects, message_json, status_upsert,
         stations_upsert, rollup_upsert_rerun, trend_upsert, dq_counts, stream_feed,
-        stream_ingest, batch_run,
+        stream_ingest, batch_run, export_files, batch_rerun, batch_status, batch_rejects,
     )
 }

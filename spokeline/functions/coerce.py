@@ -61,18 +61,41 @@ class Field:
         )
 
 
-def with_document(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Add the text as a VARIANT column, null unless it is exactly one JSON value.
+# The parser stops after one value without a word. This element after the last one shows that it
+# got there; no text that closes the array before it is read to the end.
+END_MARK = "end-of-json-text-5f1c9a7e3b"
 
-    The parser stops after one value; inside brackets any further text shows.
-    """
-    wrapped = df.selectExpr("*", f"try_parse_json(concat('[', {text}, ']')) AS _wrapped")
+
+def with_document(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Add the text as a VARIANT column, null unless it is exactly one JSON value."""
+    wrapped = df.selectExpr("*", f"try_parse_json(concat('[', {text}, ',\"{END_MARK}\"]')) AS _wrapped")
     elements = wrapped.selectExpr(
         *df.columns,
         "try_variant_get(_wrapped, '$[0]', 'variant') AS _first",
-        "try_variant_get(_wrapped, '$[1]', 'variant') AS _second",
+        "try_variant_get(_wrapped, '$[1]', 'string') AS _second",
+        "try_variant_get(_wrapped, '$[2]', 'variant') AS _third",
+    )
+    whole = f"_second = '{END_MARK}' AND _third IS NULL"
+    return elements.selectExpr(*df.columns, f"if({whole}, _first, NULL) AS {name}")
+
+
+def with_elements(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Add the elements of a JSON array text as an array of VARIANT, null unless the text is exactly
+    one array. Every element is a value of its own, so the size of the text is not that of a VARIANT.
+    """
+    blank = r" \t\r\n"
+    trimmed = df.selectExpr("*", f"btrim({text}, '{blank}') AS _trimmed")
+    marked = trimmed.selectExpr(
+        *df.columns,
+        f"""CASE WHEN _trimmed RLIKE r'^\\[\\s*\\]$' THEN '["{END_MARK}"]'
+            WHEN _trimmed LIKE '[%]'
+            THEN concat(left(_trimmed, length(_trimmed) - 1), ',"{END_MARK}"]') END AS _marked""",
+    )
+    parsed = marked.selectExpr(*df.columns, "from_json(_marked, 'array<variant>', map('allowNonNumericNumbers', 'false')) AS _elements")
+    whole = f"try_variant_get(try_element_at(_elements, -1), '$', 'string') = '{END_MARK}'"
+    return parsed.selectExpr(
+        *df.columns, f"if({whole}, slice(_elements, 1, size(_elements) - 1), NULL) AS {name}"
     )
-    return elements.selectExpr(*df.columns, f"if(_second IS NULL, _first, NULL) AS {name}")
 
 
 def with_fields(

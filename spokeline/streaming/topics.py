@@ -24,6 +24,9 @@ def folder_source(spark: SparkSession, path: str, files_per_trigger: int = 1000)
     return reader.json(path)
 
 
+KEY_PARTS = 8
+
+
 def kafka_sink(servers: str, topic: str) -> Callable[[DataFrame, int], None]:
     """Publish key and value, at least once. Needs the Kafka connector package."""
 
@@ -35,14 +38,14 @@ def kafka_sink(servers: str, topic: str) -> Callable[[DataFrame, int], None]:
 
 
 def folder_sink(path: str) -> Callable[[DataFrame, int], None]:
-    """The same records as JSON files; publishing a batch again replaces it."""
+    """Key and value as JSON files, a folder for each batch; partition is a hash of the key, so all
+    records of a key have the same. Publishing a batch again replaces it. There are no offsets, as there is no broker to give them."""
 
     def publish(messages: DataFrame, batch_id: int) -> None:
         numbered = messages.select(
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
-            F.spark_partition_id().alias("partition"),
-            F.monotonically_increasing_id().alias("offset"),
+            F.pmod(F.xxhash64("key"), F.lit(KEY_PARTS)).cast("int").alias("partition"),
             F.current_timestamp().alias("timestamp"),
         )
         numbered.write.mode("overwrite").json(f"{path}/batch={batch_id}")
