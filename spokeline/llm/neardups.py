@@ -13,6 +13,7 @@ crowded buckets of unlike documents; these are split by a second common sketch,
 that share a passage few.
 """
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -100,12 +101,13 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def distances(pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
     """Edit distance of each pair of sequences, or -1 beyond (1 - SIMILARITY) of the longer.
 
-    A band of diagonals around the main one gives the exact distance if that is not over the
-    band's half width; the band grows four times until it is, or reaches what SIMILARITY allows.
+    A band of diagonals around the main one gives the exact distance if that is not over the band's
+    half width. A pair's first band is a little wider than a lower bound of its distance, and grows
+    four times until it is enough, or reaches what SIMILARITY allows.
     """
     out = np.full(len(pairs), -1)
     most = np.array([int(max(len(a), len(b)) * (1 - SIMILARITY) + 1e-9) for a, b in pairs], dtype=np.int64)
-    todo, trimmed = [], {}
+    todo, trimmed = defaultdict(list), {}
     for i, (a, b) in enumerate(pairs):
         if abs(len(a) - len(b)) > most[i]:
             continue
@@ -118,41 +120,41 @@ def distances(pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         a, b = a[: len(a) - tail], b[: len(b) - tail]
         if not len(a) or not len(b):
             out[i] = max(len(a), len(b))
-        elif _enough_in_common(a, b, most[i]):
+            continue
+        least = _least_edits(a, b)
+        if least <= most[i]:
             trimmed[i] = (a, b)
-            todo.append(i)
-    band = 8
+            todo[max(8, 1 << (least + least // 4 + 1).bit_length())].append(i)
     while todo:
-        todo.sort(key=lambda i: max(map(len, trimmed[i])))
-        again, at = [], 0
-        while at < len(todo):
+        band = min(todo)
+        waiting = sorted(todo.pop(band), key=lambda i: max(map(len, trimmed[i])))
+        at = 0
+        while at < len(waiting):
             to = at + 1
-            rows = ALIGN_CELLS // (2 * band + 1)
-            while to < len(todo) and to - at < 256 and (to - at) * max(map(len, trimmed[todo[to]])) < rows * 16:
+            while to < len(waiting) and (to - at) * (max(map(len, trimmed[waiting[to]])) + 2 * band) < ALIGN_CELLS:
                 to += 1
-            group = todo[at:to]
+            group = waiting[at:to]
             found = _banded([trimmed[i] for i in group], band)
             for i, d in zip(group, found.tolist(), strict=True):
                 if d <= min(band, most[i]):
                     out[i] = d
                 elif band < most[i]:
-                    again.append(i)
+                    todo[band * 4].append(i)
             at = to
-        todo, band = again, band * 4
     return out
 
 
-def _enough_in_common(a: np.ndarray, b: np.ndarray, most: int) -> bool:
-    """False if a and b can't be within `most` edits: an edit changes two pairs of neighbours."""
+def _least_edits(a: np.ndarray, b: np.ndarray) -> int:
+    """A lower bound: an edit changes at most two pairs of neighbours of the longer sequence."""
     (x, n), (y, m) = (
         np.unique(s[:-1] * np.uint64(0x9E3779B97F4A7C15) + s[1:], return_counts=True) for s in (a, b)
     )
-    longer = max(len(a), len(b)) - 1
+    longer = max(len(a), len(b))
     if not len(x) or not len(y):
-        return longer <= 2 * most
+        return longer // 2
     at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-    common = np.where(x[at] == y, np.minimum(n[at], m), 0).sum()
-    return longer - common <= 2 * most
+    common = int(np.where(x[at] == y, np.minimum(n[at], m), 0).sum())
+    return max(abs(len(a) - len(b)), -(-(longer - 1 - common) // 2))
 
 
 def _banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
@@ -168,24 +170,28 @@ def _banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray
         b[i, band : band + len(y)] = y
     big = np.int32(1 << 29)
     shift = np.arange(width, dtype=np.int32)
-    # cost[i, k]: the first `row` of a against the first row + k - band of b.
-    cost = np.where(shift >= band, shift - band, big).astype(np.int32)[None, :].repeat(n, 0)
-    cost[:, :] = np.where((shift - band)[None, :] > lb[:, None], big, cost)
+    # cost[i, k]: the first `row` of a against the first row + k - band of b, less k.
+    start = np.where(shift >= band, -band, big).astype(np.int32)
+    cost = np.repeat(start[None, :], n, 0)
     done = np.full(n, big)
     reach = lb - la + band  # the diagonal of the result
     inside = (reach >= 0) & (reach < width)
+    ends = defaultdict(list)
+    for i in np.flatnonzero(inside).tolist():
+        ends[int(la[i])].append(i)
+    best, apart = np.empty_like(cost), np.empty((n, width), dtype=bool)
     for row in range(1, rows + 1):
-        column = row + shift - band
-        best = cost + (a[:, row - 1 : row] != b[:, row - 1 : row - 1 + width])
-        best[:, :-1] = np.minimum(best[:, :-1], cost[:, 1:] + 1)
-        best[:, column < 1] = big
-        if column[0] <= 0 <= column[-1]:
-            best[:, -column[0]] = row
-        best = np.minimum.accumulate(best - shift, axis=1) + shift
-        cost = np.minimum(best, big).astype(np.int32)
-        ended = inside & (la == row)
-        if ended.any():
-            done[ended] = cost[ended, reach[ended]]
+        np.not_equal(a[:, row - 1 : row], b[:, row - 1 : row - 1 + width], out=apart)
+        np.add(cost, apart, out=best)
+        # From the diagonal to the right; less k, a step there costs two.
+        np.minimum(best[:, :-1], cost[:, 1:] + np.int32(2), out=best[:, :-1])
+        if row <= band:
+            best[:, : band - row] = big
+            best[:, band - row] = row - (band - row)
+        np.minimum.accumulate(best, axis=1, out=cost)
+        if row in ends:
+            at = np.array(ends[row])
+            done[at] = cost[at, reach[at]] + reach[at]
     return done
 
 
