@@ -1,0 +1,221 @@
+"""The operators on small fixtures: SQL or brute force, and the edge cases their docstrings define."""
+
+import hashlib
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from compare import connect, differences
+from conftest import SF
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from spokeline.llm import boosting, chat, contamination, fingerprints, mixing, neardups, private, quality
+from spokeline.llm import substrings, tokencounts, tokenizer, urls
+from spokeline.llm.queries import ORACLES, QUERIES
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+ROWS = "doc_id long, text string, lang string, source string, n_chars long, size long, h1 long, score string"
+
+
+def documents(spark, *rows):
+    """Rows (doc_id, text, source), with further columns whose names operators use inside."""
+    return spark.createDataFrame([(i, t, "en", s, 0, 1, 2, "x") for i, t, s in rows], ROWS)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    rnd = random.Random(4)
+    passage = " ".join(rnd.choice("abcdefghij") + str(n) for n in range(60))
+    long = " ".join(rnd.choice(["as", "be", "cé", "do"]) for _ in range(20_000))
+    rows = [(1, passage, "s"), (2, f"x {passage} y", "s"), (3, f"x {passage} y", None), (4, None, None),
+            (5, "", ""), (6, "word", "s"), (7, long, "t"), (8, " \t\n", None), (9, "a " * 120, "t"),
+            (10, "a " * 130, "t"), (None, passage, "s")]
+    return documents(spark, *rows, rows[1])
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_query_matches_sql(spark, name):
+    assert differences(QUERIES[name](spark, SF), ORACLES[name], connect(SF)) == []
+
+
+def kept_words(docs):
+    first, words = {}, {i: WORD.findall(t or "") for i, t in docs}
+    for i in sorted(k for k in words if k is not None):
+        for n in range(len(words[i]) - 49):
+            first.setdefault(tuple(words[i][n : n + 50]), i)
+    out = {}
+    for i, own in words.items():
+        gone = [False] * len(own)
+        for n in range(len(own) - 49) if i is not None else ():
+            if first[tuple(own[n : n + 50])] < i:
+                gone[n : n + 50] = [True] * 50
+        out[i] = (len(own), sum(gone), " ".join(w for w, g in zip(own, gone, strict=True) if not g))
+    return out
+
+
+def test_substrings(spark, odd):
+    expected = kept_words([(r.doc_id, r.text) for r in odd.collect()])
+    rows = substrings.remove_repeats(odd).collect()
+    assert len(rows) == 12
+    assert all((r.n_words, r.n_removed, r.text) == expected[r.doc_id] for r in rows)
+    assert substrings.remove_repeats(odd.limit(0)).collect() == []
+
+
+def test_near_duplicates(spark, odd):
+    rows = {r.doc_id: r.class_id for r in neardups.near_duplicates(odd).collect()}
+    assert rows == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6, 7: 7, 8: 8, 9: 9, 10: 9}
+    assert neardups.near_duplicates(odd.limit(0)).collect() == []
+
+
+def test_alignment_against_a_plain_table():
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            new = [i]
+            for j, y in enumerate(b, 1):
+                new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (x != y)))
+            row = new
+        return row[-1]
+
+    rnd, pairs = random.Random(3), []
+    for _ in range(150):
+        a = [rnd.randrange(1, 9) for _ in range(rnd.randrange(0, 90))]
+        b = [x for x in a if rnd.random() < 0.95]
+        pairs.append((a, [rnd.randrange(1, 9) if rnd.random() < 0.1 else x for x in b]))
+    found = neardups.distances([tuple(np.array(x, dtype=np.uint64) for x in p) for p in pairs])
+    for (a, b), d in zip(pairs, found, strict=True):
+        true = plain(a, b)
+        assert d == (true if true <= int(max(len(a), len(b)) * 0.2 + 1e-9) else -1)
+
+
+def test_contamination(spark, odd):
+    items = spark.createDataFrame([(1, "A0 " * 3), (2, None), (3, ""), (4, odd.first().text.upper())], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in contamination.contained_items(odd, items).collect()}
+    assert found == {(i, 4) for i in (1, 2, 3, None)}
+    assert contamination.contained_items(odd.limit(0), items).collect() == []
+    assert contamination.contained_items(odd, items.limit(0)).collect() == []
+
+
+def test_token_counts(spark, odd):
+    build = tokenizer.vocabulary(spark)
+    lengths = [len(build().encode_ordinary(r.text or "")) for r in odd.collect()]
+    histogram = tokencounts.length_histogram(odd)
+    rows = {r.n_tokens: r for r in tokencounts.with_suffix_sums(histogram).collect()}
+    assert set(rows) == set(lengths)
+    for n, row in rows.items():
+        assert row.n_docs == lengths.count(n) and row.docs_from == sum(x >= n for x in lengths)
+        assert row.total_truncated == sum(min(x, n) for x in lengths)
+        assert row.total_fitting == sum(x for x in lengths if x <= n)
+    assert tokencounts.with_suffix_sums(histogram.limit(0)).collect() == []
+
+
+def test_chat(spark):
+    for text in ("\\", "##", "#\\#", "</turn>", "<\\/", "####</</", ""):
+        assert chat.unescape(chat.escape(text)) == text
+        assert "##" not in chat.escape(text) and "</" not in chat.escape(text)
+    turns = spark.createDataFrame(
+        [(1, 0, "user", None, 1), (1, 0, None, "b", 1), (1, None, "assistant", "## é", 1), (None, 1, "assistant", "z", 1)],
+        "conv_id long, turn long, role string, text string, ids long",
+    )
+    rows = chat.format_conversations(turns).collect()
+    assert sorted((r.conv_id or 0, r.seq) for r in rows) == [(0, 0), (1, 0), (1, 1), (1, 2)]
+    encoding = tokenizer.vocabulary(spark)()
+    for r in rows:
+        trained = encoding.decode([i for i, m in zip(r.ids, r.loss, strict=True) if m])
+        assert chat.unescape(trained) == {0: "z", 1: "## é" if r.seq == 0 else ""}[r.conv_id or 0]
+    assert chat.format_conversations(turns.limit(0)).collect() == []
+
+
+def test_urls(spark):
+    rows = [(1, "http://A.org/x"), (2, "https://b.example.org/es/1"), (3, "http://example.org/en/19#t"),
+            (4, "http://x.com/de/?a"), (5, "http://aorg/"), (6, None), (7, "no url"), (8, "http://org")]
+    pages = spark.createDataFrame([(*r, "h") for r in rows], "page_id long, url string, host string")
+    model = urls.train(spark.createDataFrame([], "url string, bad int"))
+    found = {r.page_id: (r.host, r.path, r.rule) for r in urls.judge(pages, urls.RULES, model).collect()}
+    assert found == {1: ("a.org", "/x", "org/"), 2: ("b.example.org", "/es/1", "example.org/es/"),
+                     3: ("example.org", "/en/19", "example.org/en/1"), 4: ("x.com", "/de/", "com/de/"),
+                     5: ("aorg", "/", None), 6: ("", "", None), 7: ("", "", None), 8: ("org", "", None)}
+    spam = [(f"http://win{n}.example.net/{n * 7919}?a={n}&b=2&c=3", 1) for n in range(80)]
+    fair = [(f"http://site.example.net/en/page-{n % 9}", 0) for n in range(80)]
+    labelled = spark.createDataFrame(spam[:60] + fair[:60], "url string, bad int")
+    held = spark.createDataFrame([(0, u) for u, _ in spam[60:] + fair[60:]], "page_id long, url string")
+    judged = urls.judge(held, (), urls.train(labelled)).collect()
+    assert all((r.verdict == "block") == ("win" in r.url) for r in judged)
+
+
+def test_boosted_trees_as_a_column(spark):
+    rnd = np.random.default_rng(1)
+    inputs = rnd.normal(size=(400, 3))
+    trees = boosting.fit(inputs, ((inputs[:, 0] > 0) ^ (inputs[:, 2] > 1)).astype(float))
+    rows = spark.createDataFrame(pa.table({f"f{i}": inputs[:, i] for i in range(3)}))
+    got = [r[0] for r in rows.select(trees.column([F.col(f"f{i}") for i in range(3)])).collect()]
+    assert np.allclose(got, trees.odds(inputs))
+
+
+def test_private(spark):
+    patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+                "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+    def valid(kind, found):
+        digits = re.sub("[^0-9]", "", found)
+        double = [int(c) if n % 2 == 0 else sum(divmod(2 * int(c), 10)) for n, c in enumerate(digits[::-1])]
+        return {"email": True, "ip": kind != "ip" or all(int(x) <= 255 for x in found.split(".")),
+                "card": 14 <= len(digits) <= 19 and sum(double) % 10 == 0, "phone": 10 <= len(digits) <= 15}[kind]
+
+    texts = ["a@b.c_d@e.f x@y.", "1.2.3.4.5.6.7.8 300.1.1.1 00001.2.3.4", "é 4111 1111 1111 1111 4111-1111-1111-1111",
+             "+1 (504) 555-5272. ++12 3", None, "", "9" * 5000, "a" * 20_000 + "@", "x" * 9 + "@q.de" * 3, "+" + "1 " * 30]
+    docs = documents(spark, *((n, t, None) for n, t in enumerate(texts)))
+    for r in private.find_private(docs).collect():
+        spans = sorted((m.start(), n, k, m.end()) for n, (k, p) in enumerate(patterns.items())
+                       for m in re.finditer(p, r.text) if valid(k, m[0]))
+        assert [tuple(s) for s in r.base] == spans and set(r.base) <= set(r.spans)
+    cleared = {r.doc_id: r.text for r in private.redact(private.find_private(docs)).collect()}
+    assert cleared[3] == "[PHONE]. ++12 3" and cleared[4] == ""
+    assert private.find_private(docs.limit(0)).collect() == []
+
+
+def test_fingerprints(spark, odd):
+    rows = fingerprints.edited_neighbours(odd).collect()
+    order = sorted(((r.doc_id, r.text or "") for r in odd.collect()), key=lambda x: (-(x[0] or -1), x[1]))
+    expected = []
+    for n, (i, text) in enumerate(order):
+        half, following = len(text) // 2, order[(n + 1) % len(order)][1]
+        edited = text[: len(text) - half] + following[:half]
+        expected.append((i or -1, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    assert sorted((r.doc_id or -1, r.n_chars, r.edited_sha256) for r in rows) == sorted(expected)
+    by = {r.doc_id: r.fingerprint for r in rows}
+    assert by[2] == by[3] and by[4] == by[5] and fingerprints.likeness(by[1], by[2]) > 0.5 > 0.1 > fingerprints.likeness(by[1], by[7])
+    assert fingerprints.edited_neighbours(odd.limit(0)).collect() == []
+
+
+def test_mix(spark, odd):
+    rows = mixing.mix(odd).collect()
+    assert len(rows) == 12 and sorted(map(str, rows)) == sorted(map(str, mixing.mix(odd).collect()))
+    taken = {}
+    for r in rows:
+        assert 0 <= r.taken <= 2 * r.size
+        taken.setdefault(r.source, [r.target, 0])[1] += r.taken
+    assert all(int(target) == n for target, n in taken.values())
+    assert mixing.mix(odd.limit(0)).collect() == []
+
+
+def test_quality_on_held_out_labels(spark, odd):
+    scored = {r.doc_id: r for r in QUERIES["op6_quality"](spark, SF).collect()}
+    labels = spark.read.parquet(f"{SF}/labels.parquet").collect()
+    held = [scored[r.doc_id].predicted == r.quality for r in labels if scored[r.doc_id].held_out]
+    assert sum(held) >= 0.95 * len(held) > 0
+    model = quality.fit([], np.array([]))
+    assert {r.score for r in quality.score_quality(odd, model).collect()} == {0.5}
+    assert quality.score_quality(odd.limit(0), model).collect() == []
+
+
+def test_pipeline(spark):
+    rows = corpus_pipeline.run(spark, SF).collect()
+    known = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    assert 0 < len(rows) < len(known) and len({r.doc_id for r in rows}) == len(rows)
+    held = contamination.contained_items(spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet"))
+    assert not {r.doc_id for r in rows} & {r.doc_id for r in held.collect()}
+    assert all(len(r.text) == r.n_chars and "@mail" not in r.text and 0 < r.taken <= 2 * r.size for r in rows)
