@@ -19,7 +19,8 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from spokeline.llm.words import SPACE, slices, words
 
-#: Labelled documents that the model is fitted on, and lines of each that it sees.
+#: Labelled documents that the model is fitted on, and lines of each that it sees, in runs of SEGMENT
+#: lines spread evenly over the document. Scoring has no such bound.
 FIT_DOCUMENTS = 2000
 FIT_LINES = 256
 SEGMENT = 32
@@ -234,24 +235,38 @@ def fit(texts: list[Lines], labels: np.ndarray) -> Model:
     return model
 
 
+def _spread_lines(n: int) -> np.ndarray:
+    """The lines of a text of n lines that the model is fitted on."""
+    if n <= FIT_LINES:
+        return np.arange(n)
+    runs = FIT_LINES // SEGMENT
+    starts = np.arange(runs) * (n - SEGMENT) // (runs - 1)
+    return (starts[:, None] + np.arange(SEGMENT)).ravel()
+
+
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         found = lines(batch.column("text"))
         rows = []
         for a, b in zip(found.first, found.first[1:], strict=False):
-            part = slice(a, min(b, a + FIT_LINES))
+            part = a + _spread_lines(b - a)
             rows.append(np.concatenate([found.features[part], found.length[part, None]], axis=1).tobytes())
-        yield pa.RecordBatch.from_arrays([batch.column("label"), pa.array(rows, pa.binary())], ["label", "lines"])
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("label"), pa.array(rows, pa.binary())], ["doc_id", "label", "lines"]
+        )
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
     """Fit on FIT_DOCUMENTS of the labelled documents, chosen by a hash of doc_id.
 
-    labels: doc_id, label 0 or 1 (the smallest of a document's counts; null ones don't)."""
+    labels: doc_id, label 0 or 1 (the smallest of a document's counts; null ones don't). Of rows that
+    share a doc_id one counts, so however often an id repeats the fit stays bounded."""
     known = labels.where("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCUMENTS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
-    found = rows.mapInArrow(_features, "label int, lines binary").collect()
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    rows = texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "label", "text")
+    rows = rows.mapInArrow(_features, "doc_id long, label int, lines binary")
+    found = rows.groupBy("doc_id", "label").agg(F.min("lines").alias("lines")).collect()
     found.sort(key=lambda row: (row.label, bytes(row.lines)))
     texts = []
     for row in found:

@@ -212,6 +212,16 @@ def test_quality_on_held_out_labels(spark, odd):
     assert quality.score_quality(odd.limit(0), model).collect() == []
 
 
+def test_quality_fit_is_bounded(spark):
+    docs = documents(spark, *((1, f"line {n}\n" * (n + 1), "s") for n in range(40)), (2, "x\n" * 5000, "s"), (None, "y", "s"))
+    labels = spark.createDataFrame([(1, 1), (1, 0), (2, 1), (3, 1), (None, 0)], "doc_id long, label int")
+    model = quality.train(docs, labels)
+    scores = [r.score for r in quality.score_quality(docs, model).collect()]
+    assert len(scores) == 42 and all(0 <= s <= 1 for s in scores)
+    chosen = quality._spread_lines(5000)
+    assert len(set(chosen.tolist())) == quality.FIT_LINES and chosen[0] == 0 and chosen[-1] == 4999
+
+
 def test_pipeline(spark):
     rows = corpus_pipeline.run(spark, SF).collect()
     known = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
