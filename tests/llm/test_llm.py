@@ -67,6 +67,8 @@ def test_substrings(spark, odd):
 def test_near_duplicates(spark, odd):
     rows = {r.doc_id: r.class_id for r in neardups.near_duplicates(odd).collect()}
     assert rows == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 6, 7: 7, 8: 8, 9: 9, 10: 9}
+    copies = documents(spark, *((i, "one two three four five six seven", "s") for i in range(100)))
+    assert {(r.class_id, r.class_size) for r in neardups.near_duplicates(copies).collect()} == {(0, 100)}
     assert neardups.near_duplicates(odd.limit(0)).collect() == []
 
 
