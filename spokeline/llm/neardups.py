@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spokeline.llm.components import components, stored
+from spokeline.llm.components import components, looked_up, stored
 from spokeline.llm.words import mix, shingle_hashes, slices, words
 
 SHINGLE = 5
@@ -35,8 +35,6 @@ DEPTH = 2
 REPEATS = 2
 BLOCK = 1 << 16
 ALIGN_CELLS = 1 << 20
-#: Parts that the copies of one text or the members of one class are spread over in a join.
-SALTS = 16
 
 _salts = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, SKETCHES, dtype=np.uint64) | np.uint64(1)
 
@@ -260,14 +258,6 @@ def _combined(rows: DataFrame) -> DataFrame:
     return rows.join(shared.select("key"), "key").select("key", "doc_id", "n_words")
 
 
-def _looked_up(rows: DataFrame, table: DataFrame, key: str) -> DataFrame:
-    """rows with the columns of table, which has at most one row per key; a left join in which no
-    task gets more than one of SALTS parts of a key's rows, however many they are."""
-    parts = table.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    rows = rows.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
-    return rows.join(parts, [key, "salt"], "left").drop("salt")
-
-
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """Classes of near-duplicate texts.
 
@@ -287,7 +277,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     same = docs.withColumn("content", F.unhex(content)).groupBy("doc_id").agg(F.min("content").alias("content"))
     same = stored(same, "contents")
     least = same.groupBy("content").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1")
-    member = _looked_up(same, least.drop("n"), "content")
+    member = looked_up(same, least.drop("n"), "content", "doc_id")
     member = stored(member.select("doc_id", F.coalesce("rep", "doc_id").alias("rep")), "members")
     sketched = docs.mapInArrow(_sketch_rows, "doc_id long, n_words long, keys array<long>")
     sketched = stored(sketched.dropDuplicates(["doc_id"]), "sketches")
@@ -316,10 +306,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             break
         rows = stored(_combined(rows), "combined")
     classes = components(links)
-    found = _looked_up(member, classes.select(F.col("id").alias("rep"), "class_id"), "rep")
+    found = looked_up(member, classes.select(F.col("id").alias("rep"), "class_id"), "rep", "doc_id")
     found = found.select("doc_id", F.coalesce("class_id", "rep").alias("class_id"))
     size = found.groupBy("class_id").agg(F.count("*").alias("class_size")).where("class_size > 1")
-    found = _looked_up(found, size, "class_id").withColumn("class_size", F.coalesce("class_size", F.lit(1)))
+    found = looked_up(found, size, "class_id", "doc_id").withColumn("class_size", F.coalesce("class_size", F.lit(1)))
     lengths = sketched.select("doc_id", "n_words")
     return found.join(lengths, "doc_id").select("doc_id", "class_id", "n_words", "class_size")
 

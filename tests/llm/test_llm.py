@@ -12,7 +12,7 @@ from conftest import SF
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from spokeline.llm import boosting, chat, contamination, fingerprints, mixing, neardups, private, quality
+from spokeline.llm import boosting, chat, components, contamination, fingerprints, mixing, neardups, private, quality
 from spokeline.llm import substrings, tokencounts, tokenizer, urls
 from spokeline.llm.queries import ORACLES, QUERIES
 
@@ -72,6 +72,25 @@ def test_near_duplicates(spark, odd):
     assert neardups.near_duplicates(odd.limit(0)).collect() == []
 
 
+def test_components(spark):
+    rnd = random.Random(5)
+    links = [(0, i) for i in range(1, 60)] + [(i, i + 1) for i in range(100, 140)]
+    links += [(rnd.randrange(200, 400), rnd.randrange(200, 400)) for _ in range(90)] + [(500, 500), (3, 0)]
+    parent = {i: i for link in links for i in link}
+
+    def top(i):
+        return i if parent[i] == i else top(parent[i])
+
+    for a, b in links:
+        low, high = sorted((top(a), top(b)))
+        parent[high] = low
+    rnd.shuffle(links)
+    found = {r.id: r.class_id for r in components.components(spark.createDataFrame(links, "a long, b long")).collect()}
+    ends = {i for a, b in links if a != b for i in (a, b)}
+    assert found == {i: top(i) for i in ends}
+    assert components.components(spark.createDataFrame([], "a long, b long")).collect() == []
+
+
 def test_alignment_against_a_plain_table():
     def plain(a, b):
         row = list(range(len(b) + 1))
