@@ -160,12 +160,8 @@ def payload_fields(spark, sf_dir):
 
 
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parsed records, stored as the batch run stores them."""
     exports = standins.exports(table(spark, sf_dir, "events"))
-    parsed = records.parse_records(explode_records(exports), as_of())
-    path = work_folder(spark, "parsed")
-    parsed.write.parquet(path)
-    return spark.read.schema(parsed.schema).parquet(path)
+    return records.parse_records(explode_records(exports), as_of())
 
 
 def export_parse(spark, sf_dir):

@@ -7,6 +7,7 @@ JSON null has the kind VOID and no text.
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 # The white space a text value is stripped of, and the number and time formats read.
 _SPACE = (
@@ -98,6 +99,13 @@ def with_elements(df: DataFrame, text: str, name: str) -> DataFrame:
     )
 
 
+def once(df: DataFrame) -> DataFrame:
+    """df with its columns computed once a row: filters on them stay above, where Spark would
+    otherwise compute costly columns below the filter and again above it."""
+    row = ", ".join(f"`{c}`" for c in df.columns)
+    return df.select(F.inline(F.expr(f"array(struct({row}))")))
+
+
 def with_fields(
     df: DataFrame, record: str, paths: dict[str, str]
 ) -> tuple[DataFrame, dict[str, Field]]:
