@@ -31,9 +31,12 @@ def _current(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    latest = rollups.latest_counts(standins.status(spark, sf_dir), ["event_id"])
+    stations = standins.stations(spark, sf_dir)
+    latest = rollups.latest_counts(
+        standins.status(spark, sf_dir), ["event_id"], stations=stations
+    )
     snapshot_time = F.date_trunc("minute", as_of())
-    return rollups.district_rollup(standins.stations(spark, sf_dir), latest, snapshot_time)
+    return rollups.district_rollup(stations, latest, snapshot_time)
 
 
 def district_rollup(spark, sf_dir):

@@ -6,17 +6,39 @@ from pyspark.sql import functions as F
 from spokeline.session import estimated_size
 
 
-def latest_one(df: DataFrame, keys: list[str], time: str, tie_break: list[str]) -> DataFrame:
+def latest_one(
+    df: DataFrame, keys: list[str], time: str, tie_break: list[str],
+    known: DataFrame | None = None,
+) -> DataFrame:
     """One row per key: the newest, a null time counting as newest, ties by tie_break.
 
-    An aggregate, so every task hands on at most one row per key, however hot the key is.
+    An aggregate, so every task hands on at most one row per key, however hot the key is. It sorts
+    the rows of a task. known has all keys that are wanted, one row each; when it is small enough to
+    broadcast, a hash aggregate finds the newest times and only their rows are sorted.
     """
+    if known is not None:
+        if fits_broadcast(known):
+            df = _newest_rows(df, keys, time, known.select(*keys))
+        else:
+            df = df.join(known, keys, "left_semi")
     rest = [c for c in df.columns if c not in keys]
     order = F.struct(F.col(time).isNull().alias("unknown"), time, *tie_break)
     newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("row"))
     return newest.select(*keys, "row.*").select(*df.columns)
 
 
+def _newest_rows(df: DataFrame, keys: list[str], time: str, known: DataFrame) -> DataFrame:
+    """The rows of each known key that have its newest time; df is not shuffled."""
+    maxima = df.groupBy(*keys).agg(
+        F.max(F.col(time).isNull()).alias("_unknown"), F.max(time).alias("_newest")
+    )
+    wanted = F.broadcast(known.join(maxima, keys))
+    is_newest = F.when(F.col("_unknown"), F.col(time).isNull()).otherwise(
+        F.col(time) == F.col("_newest")
+    )
+    return df.join(wanted, keys).where(is_newest).select(*df.columns)
+
+
 def latest_with_ties(
     df: DataFrame, keys: list[str], time: str, dimension: DataFrame | None = None
 ) -> DataFrame:

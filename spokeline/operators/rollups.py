@@ -11,15 +11,16 @@ WINDOW_HOURS = 24
 
 
 def latest_counts(
-    status: DataFrame, tie_break: list[str], keys: list[str] = ("station_code",)
+    status: DataFrame, tie_break: list[str], keys: list[str] = ("station_code",),
+    stations: DataFrame | None = None,
 ) -> DataFrame:
-    """The newest counts of every station: the input of a district rollup.
+    """The newest counts of every station, or of the given ones: the input of a district rollup.
 
     Only these columns enter the aggregate; Catalyst cannot drop others from inside it.
     """
     counts = ["num_bikes_available", "num_docks_available", "num_ebikes"]
     columns = dict.fromkeys([*keys, *counts, "ingested_at", *tie_break])
-    return latest_one(status.select(*columns), list(keys), "ingested_at", tie_break)
+    return latest_one(status.select(*columns), list(keys), "ingested_at", tie_break, stations)
 
 
 def district_rollup(stations: DataFrame, latest: DataFrame, snapshot_time: Column) -> DataFrame:

@@ -40,6 +40,24 @@ def test_latest_one(spark, seed):
     assert len(actual) == len(expected)
 
 
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_latest_one_of_known_keys(spark, threshold):
+    rows = sample(7)
+    expected = {}
+    for row in sorted(rows, key=lambda r: (r[1] is None, r[1] or START, r[2])):
+        if row[0] in ("hot", "k1"):
+            expected[row[0]] = row
+    df = spark.createDataFrame([*rows, (None, START, 0, 0)], SCHEMA).repartition(7)
+    keys = spark.createDataFrame([("hot", 1), ("k1", 2), ("other", 3), (None, 4)], "k string, v int")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    try:
+        actual = latest_one(df, ["k"], "t", ["n"], keys).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert {row["k"]: tuple(row) for row in actual} == expected
+
+
 @pytest.mark.parametrize("seed", range(3))
 @pytest.mark.parametrize("threshold", ["10485760", "-1"])
 def test_latest_with_ties(spark, seed, threshold):

@@ -43,6 +43,15 @@ def test_top_lists_are_not_sorted_globally(spark):
         assert "TakeOrderedAndProject" in plan and "rangepartitioning" not in plan
 
 
+def test_rollup_sorts_the_newest_rows_only(spark):
+    """The history is hash-aggregated and joined with broadcast maxima, below the sort."""
+    plan = plan_of(queries.district_rollup(spark, SF), "simple")
+    first_sort = plan.index("partial_max_by")
+    assert "BroadcastHashJoin" in plan[first_sort:]
+    assert "HashAggregate(keys=[station_code" in plan[first_sort:]
+    assert "SortMergeJoin" not in plan and plan.count("partial_max_by") == 1
+
+
 def test_newest_snapshot_and_newest_days_prune_partitions(spark, folder):
     rows = spark.range(400).select(
         F.col("id").cast("int").alias("arrondissement"),
