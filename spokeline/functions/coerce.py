@@ -84,19 +84,13 @@ def with_elements(df: DataFrame, text: str, name: str) -> DataFrame:
     """Add the elements of a JSON array text as an array of VARIANT, null unless the text is exactly
     one array. Every element is a value of its own, so the size of the text is not that of a VARIANT.
     """
-    blank = r" \t\r\n"
-    trimmed = df.selectExpr("*", f"btrim({text}, '{blank}') AS _trimmed")
-    marked = trimmed.selectExpr(
-        *df.columns,
-        f"""CASE WHEN _trimmed RLIKE r'^\\[\\s*\\]$' THEN '["{END_MARK}"]'
-            WHEN _trimmed LIKE '[%]'
-            THEN concat(left(_trimmed, length(_trimmed) - 1), ',"{END_MARK}"]') END AS _marked""",
-    )
-    parsed = marked.selectExpr(*df.columns, "from_json(_marked, 'array<variant>', map('allowNonNumericNumbers', 'false')) AS _elements")
-    whole = f"try_variant_get(try_element_at(_elements, -1), '$', 'string') = '{END_MARK}'"
-    return parsed.selectExpr(
-        *df.columns, f"if({whole}, slice(_elements, 1, size(_elements) - 1), NULL) AS {name}"
-    )
+    # The array is the first element of another one, so whatever follows it shows as a third.
+    options = "map('allowNonNumericNumbers', 'false')"
+    wrapped = f"""concat('[', {text}, ',["{END_MARK}"]]')"""
+    parsed = df.selectExpr("*", f"from_json({wrapped}, 'array<array<variant>>', {options}) AS _parts")
+    mark = "try_variant_get(get(get(_parts, 1), 0), '$', 'string')"
+    whole = f"size(_parts) = 2 AND {mark} = '{END_MARK}'"
+    return parsed.selectExpr(*df.columns, f"if({whole}, get(_parts, 0), NULL) AS {name}")
 
 
 def once(df: DataFrame) -> DataFrame:
