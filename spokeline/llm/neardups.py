@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spokeline.llm.components import components, looked_up, stored
-from spokeline.llm.words import mix, shingle_hashes, slices, words
+from spokeline.llm.words import bound_batches, mix, shingle_hashes, slices, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -269,6 +269,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows with a null doc_id are left out.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     docs = (
         docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
         .where("doc_id IS NOT NULL")

@@ -9,8 +9,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import SparkSession
 
 SLICE_BYTES = 1 << 21
+#: A batch that goes to a Python worker ends with the row that takes it beyond this size.
+BATCH_BYTES = 1 << 23
 
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -59,6 +62,11 @@ def prefix_sums(values: np.ndarray, which: int) -> np.ndarray:
     return sums
 
 
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the batches of later Python steps by bytes too, as 10,000 rows of long texts are large."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
     """The batches cut into runs of rows with about SLICE_BYTES of text; one row at least."""
     for batch in batches:
