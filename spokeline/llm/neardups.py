@@ -3,8 +3,8 @@
 A sketch is the ORDERED smallest of a text's 5-word shingles under one hash function, each labelled
 with its occurrence number and all kept in text order, so it agrees more often the fewer edits
 turn one text into the other. Documents that share one of SKETCHES sketches are candidates. Two
-texts are linked if the edit distance of their word sequences is at most (1 - SIMILARITY) of the
-longer one, both without the words of shingles that they repeat over and over; classes are the connected components of the links.
+texts are linked if the edit distance of their whole word sequences is at most (1 - SIMILARITY) of
+the longer one; classes are the connected components of the links.
 
 Equal texts are one class from the start and only the smallest doc_id of each goes on. In a bucket
 every document is first aligned with the smallest one. Where that leaves more than one class in a
@@ -31,8 +31,6 @@ SKETCHES = 40
 #: Documents outside a bucket's largest class beyond which the bucket is split, and how often.
 CROWD = 32
 DEPTH = 2
-#: Times that a shingle of a text counts.
-REPEATS = 2
 BLOCK = 1 << 16
 ALIGN_CELLS = 1 << 20
 
@@ -51,20 +49,6 @@ def _occurrences(values: np.ndarray) -> np.ndarray:
     return rank
 
 
-def essential(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """Word hashes of all texts without the words that begin a shingle the text has had REPEATS times,
-    and the first of each text: what a text says over and over makes it like no other text."""
-    found = words(column)
-    hashes = found.hashes()
-    shingles, first = shingle_hashes(found.first, hashes, SHINGLE)
-    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    seen = _occurrences(mix(shingles + text.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03)))
-    over = np.flatnonzero(seen >= REPEATS)
-    keep = np.ones(len(hashes), dtype=bool)
-    keep[found.first[text[over]] + over - first[text[over]]] = False
-    return hashes[keep], np.concatenate([[0], np.cumsum(keep)])[found.first]
-
-
 def sketches(shingles: np.ndarray) -> np.ndarray:
     """SKETCHES hashes, each of the ORDERED smallest labelled shingles in text order."""
     labelled = mix(shingles + _occurrences(shingles) * np.uint64(0x9E3779B97F4A7C15))
@@ -89,11 +73,11 @@ def sketches(shingles: np.ndarray) -> np.ndarray:
 
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        hashes, begin = essential(batch.column("text"))
-        shingles, first = shingle_hashes(begin, hashes, SHINGLE)
+        found = words(batch.column("text"))
+        shingles, first = shingle_hashes(found.first, found.hashes(), SHINGLE)
         keys = [sketches(shingles[a:b]).view(np.int64) if b > a else [] for a, b in zip(first, first[1:], strict=False)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(np.diff(begin)), pa.array(keys, pa.list_(pa.int64()))],
+            [batch.column("doc_id"), pa.array(found.count), pa.array(keys, pa.list_(pa.int64()))],
             ["doc_id", "n_words", "keys"],
         )
 
@@ -200,8 +184,9 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text_a"):
         sides = []
         for name in ("text_a", "text_b"):
-            hashes, first = essential(batch.column(name))
-            sides.append([hashes[x:y] for x, y in zip(first, first[1:], strict=False)])
+            found = words(batch.column(name))
+            hashes = found.hashes()
+            sides.append([hashes[x:y] for x, y in zip(found.first, found.first[1:], strict=False)])
         found = distances(list(zip(*sides, strict=True)))
         yield batch.select(["a", "b"]).filter(pa.array(found >= 0))
 
@@ -262,8 +247,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """Classes of near-duplicate texts.
 
     docs: doc_id long, text string; other columns are ignored. Returns one row per distinct non-null
-    doc_id: doc_id, class_id (the smallest doc_id of its class), n_words (without
-    repeats beyond the second of a shingle) and class_size. A null text
+    doc_id: doc_id, class_id (the smallest doc_id of its class), n_words and class_size. A null text
     counts as empty; empty texts equal each other and nothing else. A text of fewer than five words
     has one shingle, all its words. Of rows that share a doc_id the one with the smallest text counts;
     rows with a null doc_id are left out.

@@ -72,6 +72,15 @@ def test_near_duplicates(spark, odd):
     assert neardups.near_duplicates(odd.limit(0)).collect() == []
 
 
+def test_near_duplicates_of_repeated_lines(spark):
+    line = "a line of ten words that is said again here "
+    own = [" ".join(f"{side}{i}" for i in range(100)) for side in "xy"]
+    docs = documents(spark, (1, line * 3, "s"), (2, line * 1000, "s"), (3, line * 900, "s"),
+                     (4, line * 100 + own[0], "s"), (5, line * 100 + own[1], "s"))
+    rows = {r.doc_id: (r.class_id, r.n_words) for r in neardups.near_duplicates(docs).collect()}
+    assert rows == {1: (1, 30), 2: (2, 10000), 3: (2, 9000), 4: (4, 1100), 5: (4, 1100)}
+
+
 def test_components(spark):
     rnd = random.Random(5)
     links = [(0, i) for i in range(1, 60)] + [(i, i + 1) for i in range(100, 140)]
