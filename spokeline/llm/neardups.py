@@ -8,9 +8,9 @@ the longer one; classes are the connected components of the links.
 
 Equal texts are one class from the start and only the smallest doc_id of each goes on. In a bucket
 every document is first aligned with the smallest one. Where that leaves more than one class in a
-bucket, documents of different classes are aligned too. A passage that many texts contain makes
-crowded buckets of unlike documents; these are split by a second common sketch, as two similar texts share many sketches (at a Jaccard similarity of 0.8 about 20 of 40) and two
-that share a passage few.
+bucket, all documents of different classes are compared too. A passage that many texts contain makes
+crowded buckets of unlike documents; these are dealt out in pairs of blocks. A signature of a text's
+words gives a lower bound of the edit distance, so only pairs that may be linked are aligned.
 """
 
 from collections import defaultdict
@@ -22,15 +22,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spokeline.llm.components import components, looked_up, stored
-from spokeline.llm.words import bound_batches, mix, shingle_hashes, slices, words
+from spokeline.llm.words import bound_batches, mix, shingle_hashes, slices, utf8, words
 
 SHINGLE = 5
 SIMILARITY = 0.8
 ORDERED = 3
 SKETCHES = 40
-#: Documents outside a bucket's largest class beyond which the bucket is split, and how often.
+#: Documents outside a bucket's largest class beyond which the bucket is compared in pairs of blocks
+#: of about so many rows; all pairs are compared either way.
 CROWD = 32
-DEPTH = 2
+BLOCK_ROWS = 512
+#: Bits of a text's signature.
+SIGNATURE = 1024
 BLOCK = 1 << 16
 ALIGN_CELLS = 1 << 20
 
@@ -71,14 +74,39 @@ def sketches(shingles: np.ndarray) -> np.ndarray:
     return key
 
 
+def signatures(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """A row of SIGNATURE bits a text: whether the number of its words with that hash is odd.
+
+    An inserted or deleted word changes one bit, a replaced one at most two."""
+    text = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    cells, n = np.unique(text * SIGNATURE + (hashes % np.uint64(SIGNATURE)).astype(np.int64), return_counts=True)
+    cells = cells[n % 2 == 1]
+    out = np.zeros((len(first) - 1, SIGNATURE // 8), dtype=np.uint8)
+    np.bitwise_or.at(out, (cells // SIGNATURE, cells % SIGNATURE // 8), (1 << (cells % 8)).astype(np.uint8))
+    return out
+
+
+def _bits(column: pa.Array) -> np.ndarray:
+    """Signatures as rows of 64-bit integers."""
+    return utf8(column)[0].view(np.uint64).reshape(-1, SIGNATURE // 64)
+
+
+def _near(n: np.ndarray, m: np.ndarray, bits: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Whether texts of n and m words with these signatures may be linked."""
+    most = (np.maximum(n, m) * (1 - SIMILARITY) + 1e-9).astype(np.int64)
+    return (abs(n - m) <= most) & (np.bitwise_count(bits ^ other).sum(axis=1, dtype=np.int64) <= 2 * most)
+
+
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         found = words(batch.column("text"))
-        shingles, first = shingle_hashes(found.first, found.hashes(), SHINGLE)
+        hashes = found.hashes()
+        shingles, first = shingle_hashes(found.first, hashes, SHINGLE)
         keys = [sketches(shingles[a:b]).view(np.int64) if b > a else [] for a, b in zip(first, first[1:], strict=False)]
+        signature = [row.tobytes() for row in signatures(hashes, found.first)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(found.count), pa.array(keys, pa.list_(pa.int64()))],
-            ["doc_id", "n_words", "keys"],
+            [batch.column("doc_id"), pa.array(found.count), pa.array(keys, pa.list_(pa.int64())), pa.array(signature, pa.binary())],
+            ["doc_id", "n_words", "keys", "signature"],
         )
 
 
@@ -191,6 +219,25 @@ def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.select(["a", "b"]).filter(pa.array(found >= 0))
 
 
+def _possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of rows (a, b, n_a, n_b, signature_a, signature_b) that may be linked."""
+    for batch in batches:
+        if batch.num_rows:
+            n, m = (batch.column(name).to_numpy() for name in ("n_a", "n_b"))
+            near = _near(n, m, _bits(batch.column("signature_a")), _bits(batch.column("signature_b")))
+            yield batch.select(["a", "b"]).filter(pa.array(near))
+
+
+def possible(sketched: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose lengths and signatures don't rule a link out."""
+    for x in ("a", "b"):
+        side = sketched.select(
+            F.col("doc_id").alias(x), F.col("n_words").alias(f"n_{x}"), F.col("signature").alias(f"signature_{x}")
+        )
+        pairs = pairs.join(side, x)
+    return pairs.mapInArrow(_possible, "a long, b long")
+
+
 def linked(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The pairs (a, b) whose texts are similar enough."""
     text = F.col("text")
@@ -205,23 +252,23 @@ def _fits(x: str, y: str) -> Column:
     return F.least(x, y) >= F.ceil(F.greatest(x, y) * SIMILARITY - 1e-9)
 
 
-def _across(rows: DataFrame, classes: DataFrame, last: bool) -> tuple[DataFrame, DataFrame]:
-    """Pairs of different classes in the buckets (key, doc_id, n_words), and the rows of crowded buckets.
+def _across(rows: DataFrame, classes: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different classes in the buckets (key, doc_id, n_words) that may be linked.
 
-    Two documents are paired in the first of the buckets they share only. Each document outside a
-    bucket's largest class is paired with all others of other classes, so a bucket gives at most
-    CROWD pairs for each of its rows. A bucket with more than CROWD documents outside the largest
-    class is crowded and gives no pairs here, unless it is the last depth.
+    Each document outside a bucket's largest class is compared with all others of other classes. A
+    bucket with at most CROWD such documents gives at most CROWD pairs for each of its rows, each pair
+    in the first of these buckets that it shares. The other buckets are compared by blocks.
     """
     known = classes.select(F.col("id").alias("doc_id"), "class_id")
     rows = rows.join(known, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
     rows = stored(rows, "labelled")
     sizes = rows.groupBy("key", "class_id").agg(F.count("*").alias("n"))
     largest = F.max(F.struct("n", "class_id"))
-    sizes = sizes.groupBy("key").agg((F.sum("n") - largest["n"]).alias("rest"), largest["class_id"].alias("main"))
-    held = rows.join(sizes.where("rest > 0"), "key")
-    held = stored(held.withColumn("crowded", (F.col("rest") > CROWD) & F.lit(not last)), "mixed")
-    ready = held.where("NOT crowded").select("key", "doc_id", "n_words", "class_id", "main")
+    sizes = sizes.groupBy("key").agg(
+        F.sum("n").alias("n"), (F.sum("n") - largest["n"]).alias("rest"), largest["class_id"].alias("main")
+    )
+    held = stored(rows.join(sizes.where("rest > 0"), "key"), "mixed")
+    ready = held.where(F.col("rest") <= CROWD).select("key", "doc_id", "n_words", "class_id", "main")
     keys = ready.groupBy("doc_id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     ready = stored(ready.join(keys, "doc_id"), "ready")
     one, other = ready.where("class_id <> main").alias("x"), ready.alias("y")
@@ -229,18 +276,38 @@ def _across(rows: DataFrame, classes: DataFrame, last: bool) -> tuple[DataFrame,
     first = F.expr(f"x.key = y.key AND x.class_id <> y.class_id AND {once}")
     pairs = one.join(other, first & _fits("x.n_words", "y.n_words"))
     pairs = pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
-    return pairs.distinct(), held.where("crowded").select("key", "doc_id", "n_words")
-
-
-def _combined(rows: DataFrame) -> DataFrame:
-    """Buckets of the documents that share two of the crowded buckets."""
-    keys = rows.groupBy("doc_id", "n_words").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    pairs = F.expr(
-        "flatten(transform(keys, (x, i) -> transform(slice(keys, i + 2, size(keys)), y -> xxhash64(x, y))))"
-    )
-    rows = keys.select("doc_id", "n_words", F.explode(pairs).alias("key"))
-    shared = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    return rows.join(shared.select("key"), "key").select("key", "doc_id", "n_words")
+    crowded = held.where(F.col("rest") > CROWD).join(sketched.select("doc_id", "signature"), "doc_id")
+    return possible(sketched, pairs.distinct()).unionByName(_crowded(crowded)).distinct()
+
+
+def _crowded(rows: DataFrame) -> DataFrame:
+    """Pairs of different classes that may be linked, of buckets (key, n, doc_id, n_words, class_id,
+    signature) whose rows are dealt into blocks; a task has a pair of blocks at a time."""
+    blocks = F.ceil(F.col("n") / BLOCK_ROWS)
+    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    rows = rows.select("key", "low", "high", "block", "doc_id", "n_words", "class_id", "signature")
+    return rows.groupBy("key", "low", "high").applyInArrow(_blocks, "a long, b long")
+
+
+def _blocks(table: pa.Table) -> pa.Table:
+    """The pairs of two blocks, or within one, that are of different classes and may be linked."""
+    table = table.combine_chunks().sort_by("n_words")
+    block, doc, n, of = (table[name].to_numpy() for name in ("block", "doc_id", "n_words", "class_id"))
+    bits = _bits(table["signature"].combine_chunks())
+    one, other = np.flatnonzero(block == table["low"][0].as_py()), np.flatnonzero(block == table["high"][0].as_py())
+    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    within = len(one) == len(table)
+    for i in one.tolist():
+        least = int(np.searchsorted(n[other], n[i] * SIMILARITY - 1))
+        to = int(np.searchsorted(n[other], (n[i] + 1) / SIMILARITY + 1, side="right"))
+        at = other[max(least, i + 1 if within else 0) : to]
+        at = at[of[at] != of[i]]
+        at = at[_near(n[i], n[at], bits[i], bits[at])]
+        a.append(np.minimum(doc[i], doc[at]))
+        b.append(np.maximum(doc[i], doc[at]))
+    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -264,7 +331,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     least = same.groupBy("content").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1")
     member = looked_up(same, least.drop("n"), "content", "doc_id")
     member = stored(member.select("doc_id", F.coalesce("rep", "doc_id").alias("rep")), "members")
-    sketched = docs.mapInArrow(_sketch_rows, "doc_id long, n_words long, keys array<long>")
+    sketched = docs.mapInArrow(_sketch_rows, "doc_id long, n_words long, keys array<long>, signature binary")
     sketched = stored(sketched.dropDuplicates(["doc_id"]), "sketches")
     reps = member.where("doc_id = rep").select("doc_id")
     rows = (
@@ -275,21 +342,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     leader = rows.groupBy("key").agg(first, F.count("*").alias("n")).where("n > 1")
     buckets = stored(rows.join(leader.select("key", "first"), "key"), "buckets")
     stars = buckets.where((F.col("first.doc_id") < F.col("doc_id")) & _fits("first.n_words", "n_words"))
-    stars = stored(stars.select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct(), "stars")
+    stars = possible(sketched, stars.select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct())
+    stars = stored(stars, "stars")
     links = stored(linked(docs, stars), "links")
-    classes = components(links)
-
-    tried = [stars]
-    rows = buckets.select("key", "doc_id", "n_words")
-    for depth in range(1, DEPTH + 1):
-        pairs, rows = _across(rows, classes, last=depth == DEPTH)
-        for before in tried:
-            pairs = pairs.join(before, ["a", "b"], "left_anti")
-        tried.append(stored(pairs, "across"))
-        links = links.unionByName(stored(linked(docs, tried[-1]), "links"))
-        if depth == DEPTH or rows.isEmpty():
-            break
-        rows = stored(_combined(rows), "combined")
+    pairs = _across(buckets.select("key", "doc_id", "n_words"), components(links), sketched)
+    pairs = stored(pairs.join(stars, ["a", "b"], "left_anti"), "across")
+    links = links.unionByName(stored(linked(docs, pairs), "links"))
     classes = components(links)
     found = looked_up(member, classes.select(F.col("id").alias("rep"), "class_id"), "rep", "doc_id")
     found = found.select("doc_id", F.coalesce("class_id", "rep").alias("class_id"))

@@ -81,6 +81,39 @@ def test_near_duplicates_of_repeated_lines(spark):
     assert rows == {1: (1, 30), 2: (2, 10000), 3: (2, 9000), 4: (4, 1100), 5: (4, 1100)}
 
 
+def test_near_duplicates_in_crowded_buckets(spark, monkeypatch):
+    """Texts with a long passage in common: as linked as by alignment of all pairs in a bucket."""
+    rnd = random.Random(8)
+    passage = [f"p{i}" for i in range(60)]
+    texts = []
+    for i in range(60):
+        texts.append(passage + [f"t{i}w{n}" for n in range(140)])
+    for i in range(20, 60):
+        copy = list(texts[i])
+        for n in rnd.sample(range(200), 30):
+            copy[n] = f"e{i}w{n}"
+        texts.append(copy)
+    hashed = word_hashes(texts)
+    keys = [set(neardups.sketches(neardups.shingle_hashes(np.array([0, len(h)]), h, neardups.SHINGLE)[0]).tolist())
+            for h in hashed]
+    pairs = [(a, b) for a in range(100) for b in range(a + 1, 100) if keys[a] & keys[b]]
+    far = neardups.distances([(hashed[a], hashed[b]) for a, b in pairs])
+    top = list(range(100))
+    for (a, b), d in zip(pairs, far, strict=True):
+        if d >= 0:
+            low, high = sorted((top[a], top[b]))
+            top = [low if x == high else x for x in top]
+    monkeypatch.setattr(neardups, "CROWD", 2)
+    monkeypatch.setattr(neardups, "BLOCK_ROWS", 7, raising=False)
+    rows = neardups.near_duplicates(documents(spark, *((i, " ".join(t), "s") for i, t in enumerate(texts)))).collect()
+    assert [r.class_id for r in sorted(rows)] == top and len(set(top)) < 100
+
+
+def word_hashes(texts):
+    found = neardups.words(pa.array([" ".join(t) for t in texts]))
+    return np.split(found.hashes(), found.first[1:-1])
+
+
 def test_components(spark):
     rnd = random.Random(5)
     links = [(0, i) for i in range(1, 60)] + [(i, i + 1) for i in range(100, 140)]
