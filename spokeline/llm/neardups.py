@@ -1,14 +1,21 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
-A sketch is the ORDERED smallest of a text's 5-word shingles under one hash function, each labelled
+A sketch is the ORDERED smallest of a text's 2-word shingles under one hash function, each labelled
 with its occurrence number and all kept in text order, so it agrees more often the fewer edits
 turn one text into the other. Documents that share one of SKETCHES sketches are candidates. Two
 texts are linked if the edit distance of their whole word sequences is at most (1 - SIMILARITY) of
 the longer one; classes are the connected components of the links.
 
+An edit changes two shingles of either text at most, so long linked texts have a Jaccard similarity J of
+0.43 or more and share none of the sketches with a probability of about (1 - J**ORDERED)**SKETCHES, 0.006 or
+less. Texts of a few words have too few shingles for that. Those of fewer than FEW words also have
+SKETCHES sketches of one shingle less. Where one edit is all that SIMILARITY allows, the text and
+what is left of it without one word are keys too, which finds all links.
+
 Equal texts are one class from the start and only the smallest doc_id of each goes on. In a bucket
 every document is first aligned with the smallest one. Where that leaves more than one class in a
-bucket, all documents of different classes are compared too. A passage that many texts contain makes
+bucket, the documents outside the largest are aligned with another one of it, and then all documents
+of classes that still differ are compared. A passage that many texts contain makes
 crowded buckets of unlike documents; these are dealt out in pairs of blocks. A signature of a text's
 words gives a lower bound of the edit distance, so only pairs that may be linked are aligned.
 """
@@ -24,10 +31,13 @@ from pyspark.sql import functions as F
 from spokeline.llm.components import components, looked_up, stored
 from spokeline.llm.words import bound_batches, mix, shingle_hashes, slices, utf8, words
 
-SHINGLE = 5
+SHINGLE = 2
 SIMILARITY = 0.8
 ORDERED = 3
-SKETCHES = 40
+SKETCHES = 64
+#: Texts of fewer words may differ by one edit at most.
+SHORT = 10
+FEW = 64
 #: Documents outside a bucket's largest class beyond which the bucket is compared in pairs of blocks
 #: of about so many rows; all pairs are compared either way.
 CROWD = 32
@@ -52,23 +62,23 @@ def _occurrences(values: np.ndarray) -> np.ndarray:
     return rank
 
 
-def sketches(shingles: np.ndarray) -> np.ndarray:
-    """SKETCHES hashes, each of the ORDERED smallest labelled shingles in text order."""
+def sketches(shingles: np.ndarray, ordered: int = ORDERED) -> np.ndarray:
+    """SKETCHES hashes, each of the so many smallest labelled shingles in text order."""
     labelled = mix(shingles + _occurrences(shingles) * np.uint64(0x9E3779B97F4A7C15))
     best, place = np.zeros((0, SKETCHES), np.uint64), np.zeros((0, SKETCHES), np.int64)
     for at in range(0, len(labelled), BLOCK):  # in blocks, so that a long text needs no large matrix
         part = labelled[at : at + BLOCK, None] * _salts[None, :]
         part ^= part >> np.uint64(29)
         where = np.broadcast_to(np.arange(at, at + len(part))[:, None], part.shape)
-        if len(part) > ORDERED:
-            least = np.argpartition(part, ORDERED - 1, axis=0)[:ORDERED]
+        if len(part) > ordered:
+            least = np.argpartition(part, ordered - 1, axis=0)[:ordered]
             part, where = np.take_along_axis(part, least, 0), np.take_along_axis(where, least, 0)
         best, place = np.concatenate([best, part]), np.concatenate([place, where])
-        if len(best) > ORDERED:
-            least = np.argpartition(best, ORDERED - 1, axis=0)[:ORDERED]
+        if len(best) > ordered:
+            least = np.argpartition(best, ordered - 1, axis=0)[:ordered]
             best, place = np.take_along_axis(best, least, 0), np.take_along_axis(place, least, 0)
     place = np.sort(place, axis=0)
-    key = np.arange(SKETCHES, dtype=np.uint64)
+    key = np.arange(SKETCHES, dtype=np.uint64) + np.uint64(SKETCHES * ordered)
     for row in place:
         key = mix(key * np.uint64(0xD1B54A32D192ED03) + labelled[row])
     return key
@@ -97,12 +107,40 @@ def _near(n: np.ndarray, m: np.ndarray, bits: np.ndarray, other: np.ndarray) ->
     return (abs(n - m) <= most) & (np.bitwise_count(bits ^ other).sum(axis=1, dtype=np.int64) <= 2 * most)
 
 
+def shorter(hashes: np.ndarray) -> np.ndarray:
+    """Hashes of a text of fewer than SHORT words and of all that deleting one word makes of it."""
+    n = len(hashes)
+    rows = np.array([np.delete(hashes, i) for i in range(n)], dtype=np.uint64).reshape(n, n - 1)
+    out = []
+    for part in (hashes[None, :], rows):
+        key = np.full(len(part), part.shape[1], dtype=np.uint64)
+        for column in part.T:
+            key = mix(key * np.uint64(0xD1B54A32D192ED03) + column)
+        out.append(key)
+    return np.concatenate(out)
+
+
+def _keys(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
+    """What a text is found by."""
+    if not len(hashes):
+        return np.zeros(0, dtype=np.int64)
+    found = [sketches(shingles)]
+    if len(hashes) < FEW:
+        found.append(sketches(shingles, ORDERED - 1))
+    if len(hashes) < SHORT:
+        found.append(shorter(hashes))
+    return np.concatenate(found).view(np.int64)
+
+
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
         found = words(batch.column("text"))
         hashes = found.hashes()
         shingles, first = shingle_hashes(found.first, hashes, SHINGLE)
-        keys = [sketches(shingles[a:b]).view(np.int64) if b > a else [] for a, b in zip(first, first[1:], strict=False)]
+        keys = [
+            _keys(hashes[a:b], shingles[x:y])
+            for a, b, x, y in zip(found.first, found.first[1:], first, first[1:], strict=False)
+        ]
         signature = [row.tobytes() for row in signatures(hashes, found.first)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(found.count), pa.array(keys, pa.list_(pa.int64())), pa.array(signature, pa.binary())],
@@ -252,13 +290,9 @@ def _fits(x: str, y: str) -> Column:
     return F.least(x, y) >= F.ceil(F.greatest(x, y) * SIMILARITY - 1e-9)
 
 
-def _across(rows: DataFrame, classes: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different classes in the buckets (key, doc_id, n_words) that may be linked.
-
-    Each document outside a bucket's largest class is compared with all others of other classes. A
-    bucket with at most CROWD such documents gives at most CROWD pairs for each of its rows, each pair
-    in the first of these buckets that it shares. The other buckets are compared by blocks.
-    """
+def _mixed(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """The rows (key, doc_id, n_words) of buckets with more than one class, with class_id, the bucket's
+    rows n, its largest class main and the rows of the others, rest."""
     known = classes.select(F.col("id").alias("doc_id"), "class_id")
     rows = rows.join(known, "doc_id", "left").withColumn("class_id", F.coalesce("class_id", "doc_id"))
     rows = stored(rows, "labelled")
@@ -267,7 +301,27 @@ def _across(rows: DataFrame, classes: DataFrame, sketched: DataFrame) -> DataFra
     sizes = sizes.groupBy("key").agg(
         F.sum("n").alias("n"), (F.sum("n") - largest["n"]).alias("rest"), largest["class_id"].alias("main")
     )
-    held = stored(rows.join(sizes.where("rest > 0"), "key"), "mixed")
+    return stored(rows.join(sizes.where("rest > 0"), "key"), "mixed")
+
+def _strays(held: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the documents outside a bucket's largest class, each with one of that class, which is
+    another one in most buckets."""
+    by = F.struct(F.xxhash64("key", "doc_id").alias("order"), "doc_id", "n_words")
+    centre = held.where("class_id = main").groupBy("key").agg(F.min(by).alias("centre"))
+    strays = held.where("class_id <> main").select("key", "doc_id", "n_words").join(centre, "key")
+    strays = strays.where(_fits("n_words", "centre.n_words"))
+    return strays.select(
+        F.least("doc_id", "centre.doc_id").alias("a"), F.greatest("doc_id", "centre.doc_id").alias("b")
+    ).distinct()
+
+
+def _across(held: DataFrame, sketched: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different classes in the _mixed() buckets that may be linked.
+
+    Each document outside a bucket's largest class is compared with all others of other classes. A
+    bucket with at most CROWD such documents gives at most CROWD pairs for each of its rows, each pair
+    in the first of these buckets that it shares. The other buckets are compared by blocks.
+    """
     ready = held.where(F.col("rest") <= CROWD).select("key", "doc_id", "n_words", "class_id", "main")
     keys = ready.groupBy("doc_id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
     ready = stored(ready.join(keys, "doc_id"), "ready")
@@ -315,8 +369,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     docs: doc_id long, text string; other columns are ignored. Returns one row per distinct non-null
     doc_id: doc_id, class_id (the smallest doc_id of its class), n_words and class_size. A null text
-    counts as empty; empty texts equal each other and nothing else. A text of fewer than five words
-    has one shingle, all its words. Of rows that share a doc_id the one with the smallest text counts;
+    counts as empty; empty texts equal each other and nothing else. A text of one word
+    has one shingle, that word. Of rows that share a doc_id the one with the smallest text counts;
     rows with a null doc_id are left out.
     """
     spark = docs.sparkSession
@@ -345,8 +399,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     stars = possible(sketched, stars.select(F.col("first.doc_id").alias("a"), F.col("doc_id").alias("b")).distinct())
     stars = stored(stars, "stars")
     links = stored(linked(docs, stars), "links")
-    pairs = _across(buckets.select("key", "doc_id", "n_words"), components(links), sketched)
-    pairs = stored(pairs.join(stars, ["a", "b"], "left_anti"), "across")
+    # Documents that one of a large class is like need not be aligned with all of it.
+    held = _mixed(buckets.select("key", "doc_id", "n_words"), components(links))
+    strays = stored(possible(sketched, _strays(held).join(stars, ["a", "b"], "left_anti")), "strays")
+    links = links.unionByName(stored(linked(docs, strays), "links"))
+    held = _mixed(held.select("key", "doc_id", "n_words"), components(links))
+    pairs = _across(held, sketched).join(stars, ["a", "b"], "left_anti").join(strays, ["a", "b"], "left_anti")
+    pairs = stored(pairs, "across")
     links = links.unionByName(stored(linked(docs, pairs), "links"))
     classes = components(links)
     found = looked_up(member, classes.select(F.col("id").alias("rep"), "class_id"), "rep", "doc_id")

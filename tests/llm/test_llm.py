@@ -109,6 +109,31 @@ def test_near_duplicates_in_crowded_buckets(spark, monkeypatch):
     assert [r.class_id for r in sorted(rows)] == top and len(set(top)) < 100
 
 
+def test_near_duplicates_with_scattered_edits(spark):
+    """Pairs at the least similarity, against the alignment of all pairs."""
+    rnd = random.Random(9)
+    texts = []
+    for i in range(150):
+        n = 5 + i % 5 if i < 50 else rnd.randrange(100, 300)
+        text = [f"t{i}w{k}" for k in range(n)]
+        copy = list(text)
+        spread = range(0, n, 5) if i % 2 else rnd.sample(range(n), n)
+        for k in list(spread)[: n // 5]:
+            copy[k] = f"e{i}w{k}"
+        texts += [text, copy]
+        if i < 50 and n < 9:
+            texts.append(text[:2] + [f"n{i}"] + text[2:])
+    hashed = word_hashes(texts)
+    pairs = [(a, b) for a in range(len(texts)) for b in range(a + 1, len(texts))]
+    linked = [p for p, d in zip(pairs, neardups.distances([(hashed[a], hashed[b]) for a, b in pairs]), strict=True) if d >= 0]
+    rows = neardups.near_duplicates(documents(spark, *((i, " ".join(t), "s") for i, t in enumerate(texts)))).collect()
+    of = {r.doc_id: r.class_id for r in rows}
+    short = [(a, b) for a, b in linked if max(len(texts[a]), len(texts[b])) < neardups.SHORT]
+    assert len(short) >= 50 and all(of[a] == of[b] for a, b in short)
+    assert len(linked) - len(short) >= 100 and sum(of[a] == of[b] for a, b in linked) >= 0.99 * len(linked)
+    assert len(set(of.values())) >= 150
+
+
 def word_hashes(texts):
     found = neardups.words(pa.array([" ".join(t) for t in texts]))
     return np.split(found.hashes(), found.first[1:-1])
