@@ -32,12 +32,14 @@ BYTES_A = "/opt/tokenizers/byte_bpe_50k.json"
 PIECES_B = "/opt/tokenizers/piece_bpe_32k.model"
 #: Bytes of a text whose ends are in the dictionaries at once.
 WINDOW = 1 << 18
+#: Bytes of the documents whose tokens are held at once.
+SLICE = 1 << 20
 #: Links that are expanded at once.
 LINKS = 1 << 21
 #: Parts of the pairs; a prime, so that they are even whatever the sizes of the vocabularies.
 PARTS = 31
 #: Slices of documents that one task looks up in a part of the pairs.
-SLICES = 512
+SLICES = 256
 #: Pairs that a task collects before it adds them up.
 COUNTED = 1 << 22
 
@@ -45,7 +47,7 @@ _built: dict[int, "Tokenizers"] = {}
 
 
 class Tokenizers:
-    """Both tokenizers, and of each id its bytes, their number and its decimal form."""
+    """Both tokenizers, of each id its bytes and their number, and what separated ids are written as."""
 
     def __init__(self, bytes_a: bytes, pieces_b: bytes):
         known = json.loads(bytes_a)
@@ -66,7 +68,8 @@ class Tokenizers:
             for i, name in zip(ids, names, strict=True)
         ]
         self.length_a, self.length_b = (np.array([len(x) for x in t]) for t in (self.bytes_a, self.bytes_b))
-        self.names = [str(i) for i in range(max(len(self.bytes_a), len(self.bytes_b)))]
+        largest = max(len(self.bytes_a), len(self.bytes_b))
+        self.names = [f"{i}{mark}" for mark in ",|;" for i in range(largest)]
 
     def encode(self, texts: list[str | None]) -> Iterator[tuple[list[int], list[int]]]:
         """The ids of space + text by A and of text, to which it adds the space, by B; none if these
@@ -121,9 +124,9 @@ def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[int], list[
         ib, jb = np.searchsorted(ends_b, [low, low + WINDOW], side="right").tolist()
         at_a = dict(zip(ends_a[ia:ja].tolist(), range(ia + 1, ja + 1), strict=True))
         at_b = dict(zip(ends_b[ib:jb].tolist(), range(ib + 1, jb + 1), strict=True))
-        common = sorted(at_a.keys() & at_b.keys())
-        cuts_a += map(at_a.__getitem__, common)
-        cuts_b += map(at_b.__getitem__, common)
+        # The ends went in upwards, so the common keys come out sorted.
+        cuts_a += [i for end, i in at_a.items() if end in at_b]
+        cuts_b += [i for end, i in at_b.items() if end in at_a]
     return cuts_a, cuts_b
 
 
@@ -167,14 +170,27 @@ def align(models: Tokenizers, texts: list[str | None]) -> Aligned:
     return Aligned(a, b, start_a, start_b, ends_a - start_a, ends_b - start_b, first, tokens)
 
 
-def written_groups(names: list[str], a: list[int], b: list[int], cuts_a: list[int], cuts_b: list[int]) -> str:
-    """a1,a2|b1;a3|b2,b3 for the groups of a text."""
-    own_a, own_b = [names[i] for i in a], [names[i] for i in b]
-    out, i, j = [], 0, 0
-    for x, y in zip(cuts_a, cuts_b, strict=True):
-        out.append(f"{own_a[i] if x == i + 1 else ','.join(own_a[i:x])}|{own_b[j] if y == j + 1 else ','.join(own_b[j:y])}")
-        i, j = x, y
-    return ";".join(out)
+def written_groups(names: list[str], found: Aligned) -> list[str]:
+    """a1,a2|b1;a3|b2,b3 for the groups of each text; names: Tokenizers.names."""
+    kinds = len(names) // 3
+    both, at = found.size_a + found.size_b, 0
+    ends = np.cumsum(both)
+    marked = np.empty(len(found.a) + len(found.b), dtype=np.int64)
+    marked[_ragged(ends - both, found.size_a)] = found.a
+    marked[_ragged(ends - found.size_b, found.size_b)] = found.b
+    marked[ends - found.size_b - 1] += kinds
+    marked[ends - 1] += 2 * kinds
+    out = []
+    for to in np.concatenate([[0], ends])[found.first[1:]].tolist():
+        out.append("".join(map(names.__getitem__, marked[at:to].tolist()))[:-1])
+        at = to
+    return out
+
+
+def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start[0], start[0] + 1, ... (size[0] of them), start[1], ..."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - size), size)
 
 
 def _summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -189,7 +205,7 @@ def distinct_links(found: Aligned, width: int) -> tuple[np.ndarray, np.ndarray,
     """text, pair (a * width + b) and how often, for the distinct links of each text.
 
     The slices are expanded LINKS links at a time; a wider one a row of A tokens at a time."""
-    sizes, text = found.size_a * found.size_b, found.text
+    text = found.text
     spread = np.int64(len(found.first))  # more than the largest text's number
     held: list[tuple[np.ndarray, np.ndarray]] = []
     waiting = 0
@@ -200,7 +216,9 @@ def distinct_links(found: Aligned, width: int) -> tuple[np.ndarray, np.ndarray,
         group, row = np.repeat(group, size), np.repeat(row, size)
         a = found.a[found.start_a[group] + row + off // found.size_b[group]]
         b = found.b[found.start_b[group] + off % found.size_b[group]]
-        held.append(_summed((a * width + b) * spread + text[group], np.ones(len(a), dtype=np.int64)))
+        key = np.sort((a * width + b) * spread + text[group])
+        lead = np.flatnonzero(np.diff(key, prepend=-1))
+        held.append((key[lead], np.diff(lead, append=len(key))))
         waiting += len(held[-1][0])
         if waiting > 4 * LINKS:
             held = [_summed(*map(np.concatenate, zip(*held, strict=True)))]
@@ -208,7 +226,6 @@ def distinct_links(found: Aligned, width: int) -> tuple[np.ndarray, np.ndarray,
     if not held:
         return (np.zeros(0, dtype=np.int64),) * 3
     key, n = _summed(*map(np.concatenate, zip(*held, strict=True))) if len(held) > 1 else held[0]
-    assert len(sizes) and n.sum() == sizes.sum()
     return key % spread, key // spread, n
 
 
@@ -252,12 +269,10 @@ def _pack(build: Callable, schema: pa.Schema) -> Callable:
         models = build()
         width = len(models.bytes_b)
         number = TaskContext.get().partitionId() << 32
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             found = align(models, batch.column("text").to_pylist())
-            digests = [
-                hashlib.sha256(written_groups(models.names, *x).encode()).hexdigest() if x[0] else ""
-                for x in found.tokens
-            ]
+            written = written_groups(models.names, found)
+            digests = [hashlib.sha256(x.encode()).hexdigest() if x else "" for x in written]
             own = {
                 "slice": [number] * batch.num_rows,
                 "number": range(batch.num_rows),
@@ -270,9 +285,9 @@ def _pack(build: Callable, schema: pa.Schema) -> Callable:
             }
             yield _filled(own, batch.num_rows, schema)
             text, pair, times = distinct_links(found, width)
-            part = pair % PARTS
+            part = (pair % PARTS).astype(np.uint8)
             order = np.argsort(part, kind="stable")  # in a part by pair and text, as before
-            cuts = np.searchsorted(part[order], np.arange(PARTS + 1)).tolist()
+            cuts = np.concatenate([[0], np.cumsum(np.bincount(part, minlength=PARTS))]).tolist()
             rows: dict[str, list] = {x: [] for x in ("slice", "part", "keys", "counts", "texts", "times")}
             for k in range(PARTS):
                 mine = order[cuts[k] : cuts[k + 1]]
@@ -389,7 +404,7 @@ def aligned_tokens(docs: DataFrame, path_a: str = BYTES_A, path_b: str = PIECES_
     models = tokenizers(docs.sparkSession, path_a, path_b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches):
+        for batch in slices(batches, size=SLICE):
             found = align(models(), batch.column("text").to_pylist()).tokens
             lists = [pa.array([x[k] for x in found], pa.list_(pa.int32())) for k in range(4)]
             names = ["doc_id", "a_ids", "b_ids", "a_ends", "b_ends"]

@@ -67,15 +67,15 @@ def bound_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut into runs of rows with about SLICE_BYTES of text; one row at least."""
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut into runs of rows with about size bytes of text; one row at least."""
     for batch in batches:
         if not batch.num_rows:
             continue
         _, offsets = utf8(batch.column(column))
         at = 0
         while at < batch.num_rows:
-            to = int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, side="right")) - 1
+            to = int(np.searchsorted(offsets, offsets[at] + size, side="right")) - 1
             to = min(max(to, at + 1), batch.num_rows)
             yield batch.slice(at, to - at)
             at = to
