@@ -188,13 +188,16 @@ TOPIC = f"""{STATUS}, consumed AS (
             WHEN bikes < 60 THEN 'station code is missing' ELSE 'message is not JSON' END AS reason
     FROM base)"""
 
-# All records, and those of even events five minutes later.
-LOADS = f"""WITH {RECORDS}, loads AS (
-    SELECT r.* EXCLUDE (last_reported), {NOW} + INTERVAL 5 MINUTES * n AS ingested_at,
-           CASE WHEN event_type = 'purchase' THEN {NOW} + INTERVAL 5 MINUTES * n
-               ELSE last_reported END AS last_reported
-    FROM rows r, (SELECT unnest([0, 1]) AS n)
-    WHERE n = 0 OR CAST(source AS BIGINT) % 2 = 0)"""
+# All records, and all of them five minutes later with values larger by 7.
+LATER = RECORDS.replace("SELECT *, CAST(floor(value)", "SELECT * REPLACE (value + 7 AS value), CAST(floor(value + 7)")
+LOADS = f"""WITH {RECORDS}, first_load AS (SELECT * FROM rows),
+second_load AS (WITH {LATER} SELECT * FROM rows),
+loads AS (
+    SELECT r.* EXCLUDE (last_reported), {NOW} AS ingested_at, last_reported FROM first_load r
+    UNION ALL
+    SELECT r.* EXCLUDE (last_reported), {NOW} + INTERVAL 5 MINUTES AS ingested_at,
+           CASE WHEN event_type = 'purchase' THEN {NOW} + INTERVAL 5 MINUTES ELSE last_reported END
+    FROM second_load r)"""
 
 ORACLES = {
     "district_rollup": f"{WITH_ROLLUP} SELECT * FROM rollup_rows",
@@ -364,11 +367,30 @@ ORACLES = {
                first_installed AS is_installed, is_renting, first_returning AS is_returning,
                last_reported, ingested_at
         FROM ranked WHERE last_rank = 1""",
+    "status_table_upsert": f"""WITH {STATUS}, first_load AS (
+            SELECT *, num_ebikes > 2 AS is_installed, num_ebikes > 4 AS is_returning FROM status),
+        changes AS (
+            SELECT * REPLACE (num_docks_available AS num_bikes_available,
+                num_bikes_available AS num_docks_available, NOT is_installed AS is_installed,
+                NOT is_returning AS is_returning, NOT is_renting AS is_renting,
+                last_reported + INTERVAL 1 DAY * (CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END) AS last_reported,
+                ingested_at + INTERVAL 1 HOUR AS ingested_at)
+            FROM first_load),
+        ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY station_code, last_reported ORDER BY n, event_id) AS first_rank,
+                   row_number() OVER (PARTITION BY station_code, last_reported ORDER BY n DESC, event_id DESC) AS last_rank
+            FROM (SELECT 0 AS n, * FROM first_load UNION ALL SELECT 1, * FROM changes))
+        SELECT l.* EXCLUDE (n, event_id, first_rank, last_rank)
+               REPLACE (f.is_installed AS is_installed, f.is_returning AS is_returning)
+        FROM ranked l JOIN ranked f ON l.station_code = f.station_code AND l.last_reported = f.last_reported
+        WHERE l.last_rank = 1 AND f.first_rank = 1""",
     "batch_rejects": f"""WITH {STATUS}
         SELECT lpad(CAST(event_id AS VARCHAR), 12, '0') AS source, 0 AS pos,
-               CASE WHEN bikes < 60 THEN 'num_bikes_available is not an integer'
+               CASE WHEN floor(value + 7 * n) < 60 THEN 'num_bikes_available is not an integer'
                    ELSE 'num_bikes_available is out of range' END AS reason,
                {NOW} + INTERVAL 5 MINUTES * n AS rejected_at
-        FROM base, (SELECT unnest([0, 1]) AS n)
-        WHERE event_type = 'error' AND (n = 0 OR event_id % 2 = 0)""",
+        FROM base, (SELECT unnest([0, 1]) AS n) WHERE event_type = 'error'""",
 }
+
+# The same upsert, of a stored table.
+ORACLES["stations_table_upsert"] = ORACLES["stations_upsert"]

@@ -14,12 +14,14 @@ from spokeline.operators.keyed import fold, latest_one, upsert
 from spokeline.plans import batch, quality, views
 from spokeline.session import configure, utc, work_folder
 from spokeline.sources.exports import explode_records, read_exports
-from spokeline.sources.tables import VersionedTable
+from spokeline.sources.tables import DayTable, KeyedTable, StoredTable
 from spokeline.streaming import feed, ingest, topics
 
 
 #: Records of a landed file in export_files.
 EXPORT_SIZE = 1000
+#: By how much a second load changes the values of the events.
+CHANGE = 7
 
 
 def _since(hours: int):
@@ -206,7 +208,7 @@ def status_upsert(spark, sf_dir):
     return fold(changes, ["l_orderkey", "l_linenumber"], order, keep_first)
 
 
-def stations_upsert(spark, sf_dir):
+def _station_changes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     base = standins.stations(spark, sf_dir)
     changes = table(spark, sf_dir, "orders").select(
         (F.col("o_custkey") * 2).cast("string").alias("station_code"),
@@ -218,33 +220,81 @@ def stations_upsert(spark, sf_dir):
         "o_orderdate",
         "o_orderkey",
     )
+    return base, changes
+
+
+def stations_upsert(spark, sf_dir):
+    base, changes = _station_changes(spark, sf_dir)
     return upsert(base, changes, schemas.STATIONS_KEY, ["o_orderdate", "o_orderkey"])
 
 
+def _district_table(spark: SparkSession) -> DayTable:
+    root = work_folder(spark, "districts")
+    return DayTable(spark, root, schemas.DISTRICTS, schemas.DISTRICTS_KEY, "snapshot_time")
+
+
 def rollup_upsert_rerun(spark, sf_dir):
     """The district rollup stored twice in the same minute."""
-    stored = VersionedTable(
-        spark, work_folder(spark, "districts"), schemas.DISTRICTS, schemas.DISTRICTS_KEY,
-        day="snapshot_time",
-    )
+    stored = _district_table(spark)
     for _ in range(2):
-        stored.upsert(_rollup(spark, sf_dir), order=[], days=[AS_OF.date()])
+        stored.upsert(_rollup(spark, sf_dir))
     return plain_times(stored.read())
 
 
 def trend_upsert(spark, sf_dir):
     """The hourly trend stored by two runs, half a day apart, the second over the first."""
-    stored = VersionedTable(
-        spark, work_folder(spark, "hourly"), schemas.HOURLY, schemas.HOURLY_KEY, day="hour_bucket"
-    )
+    root = work_folder(spark, "hourly")
+    stored = DayTable(spark, root, schemas.HOURLY, schemas.HOURLY_KEY, "hour_bucket")
     for run in (AS_OF - timedelta(hours=12), AS_OF):
         since = utc(run - timedelta(hours=24))
-        trend = rollups.hourly_trend(standins.status(spark, sf_dir, since), utc(run))
-        days = [(AS_OF - timedelta(days=n)).date() for n in range(3)]
-        stored.upsert(trend, order=[], days=days)
+        stored.upsert(rollups.hourly_trend(standins.status(spark, sf_dir, since), utc(run)))
     return plain_times(stored.read())
 
 
+STORED_STATUS = schemas.T.StructType([f for f in schemas.STATUS if f.name not in ("source", "pos")])
+
+
+def _status_loads(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """All status rows, and all again an hour later with bikes and docks swapped and their flags turned;
+    a third of those is reported a day later and so new."""
+    rows = standins.status(spark, sf_dir).withColumns(
+        {"is_installed": F.col("num_ebikes") > 2, "is_returning": F.col("num_ebikes") > 4}
+    )
+    hour = F.expr("INTERVAL 1 HOUR")
+    moved = F.col("last_reported") + F.expr("if(event_id % 3 = 0, INTERVAL 1 DAY, INTERVAL 0 DAY)")
+    changes = rows.withColumns(
+        {
+            "num_bikes_available": F.col("num_docks_available"),
+            "num_docks_available": F.col("num_bikes_available"),
+            "is_installed": ~F.col("is_installed"), "is_returning": ~F.col("is_returning"),
+            "is_renting": ~F.col("is_renting"), "last_reported": moved,
+            "ingested_at": F.col("ingested_at") + hour,
+        }
+    )
+    return rows, changes
+
+
+def status_table_upsert(spark, sf_dir):
+    """A stored status table, in days and buckets of the station, after a second load."""
+    stored = StoredTable(
+        spark, work_folder(spark, "status"), STORED_STATUS, schemas.STATUS_KEY,
+        "to_date(last_reported)", "date", bucket_by=["station_code"],
+    )
+    rows, changes = _status_loads(spark, sf_dir)
+    stored.upsert(rows, ["event_id"])
+    stored.upsert(changes, ["event_id"], schemas.STATUS_KEEP_FIRST)
+    return plain_times(stored.read())
+
+
+def stations_table_upsert(spark, sf_dir):
+    """A stored station table in buckets, after an upsert."""
+    base, changes = _station_changes(spark, sf_dir)
+    stored = KeyedTable(spark, work_folder(spark, "stations"), base.schema, schemas.STATIONS_KEY)
+    stored.replace(base.repartition(stored.buckets, *stored.bucket_by))
+    stored.upsert(changes, ["o_orderdate", "o_orderkey"])
+    return stored.read()
+
+
 def dq_counts(spark, sf_dir):
     return quality.row_counts(
         standins.stations(spark, sf_dir), standins.status(spark, sf_dir, _since(1)),
@@ -301,12 +351,13 @@ def export_files(spark, sf_dir):
 
 
 def _loads(spark: SparkSession, sf_dir: str, loads: list[int]) -> batch.Tables:
-    """The tables after some loads: 0 is all exports, 1 those of even events five minutes later."""
+    """The tables after some loads: 0 is all exports, 1 all of them with changed values, five minutes
+    later."""
     root = work_folder(configure(spark), "batch")
-    exports = standins.exports(table(spark, sf_dir, "events"))
+    events = table(spark, sf_dir, "events")
     for load in loads:
-        chosen = exports.where(F.col("source").cast("long") % 2 == 0) if load else exports
-        batch.run_batch(spark, chosen, root, AS_OF + timedelta(minutes=5 * load))
+        changed = events.withColumn("value", F.col("value") + CHANGE * load)
+        batch.load_exports(batch.Tables(spark, root), standins.exports(changed), AS_OF + timedelta(minutes=5 * load))
     return batch.Tables(spark, root)
 
 
@@ -323,8 +374,7 @@ def batch_status(spark, sf_dir):
 def batch_rejects(spark, sf_dir):
     """The rejects of two loads."""
     tables = _loads(spark, sf_dir, [0, 1])
-    found = spark.read.parquet(f"{tables.root}/rejects/load_id=*")
-    return plain_times(found.select("source", "pos", "reason", "rejected_at"))
+    return plain_times(tables.rejects.read().select("source", "pos", "reason", "rejected_at"))
 
 
 QUERIES = {
@@ -337,5 +387,6 @@ QUERIES = {
         payload_fields, export_parse, export_rejects, message_json, status_upsert,
         stations_upsert, rollup_upsert_rerun, trend_upsert, dq_counts, stream_feed,
         stream_ingest, batch_run, export_files, batch_rerun, batch_status, batch_rejects,
+        status_table_upsert, stations_table_upsert,
     )
 }

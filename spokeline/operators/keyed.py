@@ -94,6 +94,25 @@ def upsert(
     return _fold(both, base.columns, keys, F.col("_order"), keep_first)
 
 
+def without_keys(rows: DataFrame, changes: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose keys (never null) changes does not have. rows in buckets of a key stay where they
+    are: only the keys of changes are broadcast or shuffled, and nothing is aggregated."""
+    return rows.join(changes.select(*keys), keys, "left_anti").select(*rows.columns)
+
+
+def newest_changes(
+    base: DataFrame, newest: DataFrame, keys: list[str], keep_first: list[str]
+) -> DataFrame:
+    """The newest changes, one row per key, with the columns in keep_first as base has them, if it does."""
+    kept = base.select(*keys, F.struct(*keep_first).alias("_kept"))
+    both = newest.join(kept.join(newest.select(*keys), keys, "left_semi"), keys, "left")
+    stored = F.col("_kept").isNotNull()
+    return both.select(
+        *[F.when(stored, F.col(f"_kept.{c}")).otherwise(F.col(c)).alias(c) if c in keep_first else c
+          for c in newest.columns]
+    )
+
+
 def _fold(
     changes: DataFrame, columns: list[str], keys: list[str], sequence: Column,
     keep_first: list[str],
