@@ -394,3 +394,5 @@ ORACLES = {
 
 # The same upsert, of a stored table.
 ORACLES["stations_table_upsert"] = ORACLES["stations_upsert"]
+# The same files, read in another way.
+ORACLES["export_elements"] = ORACLES["export_files"]

@@ -13,7 +13,7 @@ from spokeline.operators import records, rollups
 from spokeline.operators.keyed import fold, latest_one, upsert
 from spokeline.plans import batch, quality, views
 from spokeline.session import configure, utc, work_folder
-from spokeline.sources.exports import explode_records, read_exports
+from spokeline.sources.exports import explode_records, read_array_elements, read_exports
 from spokeline.sources.tables import DayTable, KeyedTable, StoredTable
 from spokeline.streaming import feed, ingest, topics
 
@@ -333,8 +333,8 @@ def batch_run(spark, sf_dir):
     return plain_times(batch.Tables(spark, root).districts.read())
 
 
-def export_files(spark, sf_dir):
-    """Good records of landed files with many records each, and their place in the file."""
+def _landed(spark: SparkSession, sf_dir: str) -> str:
+    """Files with the records of EXPORT_SIZE events each, as one array; their path."""
     folder = work_folder(spark, "landing")
     events = table(spark, sf_dir, "events")
     record = F.expr("substring(text, 2, length(text) - 2)")
@@ -344,12 +344,26 @@ def export_files(spark, sf_dir):
     arrays = texts.groupBy("file").agg(F.sort_array(F.collect_list(F.struct("source", "record"))).alias("r"))
     text = F.concat(F.lit("["), F.array_join("r.record", ",\n"), F.lit("]"))
     arrays.select("file", text.alias("value")).repartition("file").write.partitionBy("file").text(folder)
-    parsed = records.parse_records(explode_records(read_exports(spark, f"{folder}/*/*.txt")), as_of())
-    rows = records.accepted_rows(parsed)
+    return f"{folder}/*/*.txt"
+
+
+def _landed_rows(elements: DataFrame) -> DataFrame:
+    """Good records of landed files, and their place in the file."""
+    rows = records.accepted_rows(records.parse_records(elements, as_of()))
     number = F.regexp_extract("source", "file=([0-9]+)", 1).cast("long")
     return rows.select(number.alias("file"), "pos", "station_code", "num_bikes_available", "num_docks_available", "is_renting")
 
 
+def export_files(spark, sf_dir):
+    """Files with many records each, a text a file."""
+    return _landed_rows(explode_records(read_exports(spark, _landed(spark, sf_dir))))
+
+
+def export_elements(spark, sf_dir):
+    """The same files, split at the records."""
+    return _landed_rows(read_array_elements(spark, _landed(spark, sf_dir)))
+
+
 def _loads(spark: SparkSession, sf_dir: str, loads: list[int]) -> batch.Tables:
     """The tables after some loads: 0 is all exports, 1 all of them with changed values, five minutes
     later."""
@@ -387,6 +401,6 @@ QUERIES = {
         payload_fields, export_parse, export_rejects, message_json, status_upsert,
         stations_upsert, rollup_upsert_rerun, trend_upsert, dq_counts, stream_feed,
         stream_ingest, batch_run, export_files, batch_rerun, batch_status, batch_rejects,
-        status_table_upsert, stations_table_upsert,
+        status_table_upsert, stations_table_upsert, export_elements,
     )
 }

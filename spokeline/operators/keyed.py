@@ -13,14 +13,16 @@ def latest_one(
     """One row per key: the newest, a null time counting as newest, ties by tie_break.
 
     An aggregate, so every task hands on at most one row per key, however hot the key is. It sorts
-    the rows of a task. known has all keys that are wanted, one row each; when it is small enough to
-    broadcast, a hash aggregate finds the newest times and only their rows are sorted.
+    the rows it gets, so a hash aggregate finds the newest times first, and only rows that may have
+    one get there: df is read twice. known has all keys that are wanted, one row each; when it is
+    small enough to broadcast, so are the newest times, and else a Bloom filter of them.
     """
-    if known is not None:
-        if fits_broadcast(known):
-            df = _newest_rows(df, keys, time, known.select(*keys))
-        else:
+    if known is not None and fits_broadcast(known):
+        df = _newest_rows(df, keys, time, known.select(*keys))
+    else:
+        if known is not None:
             df = df.join(known, keys, "left_semi")
+        df = _perhaps_newest_rows(df, keys, time)
     rest = [c for c in df.columns if c not in keys]
     order = F.struct(F.col(time).isNull().alias("unknown"), time, *tie_break)
     newest = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("row"))
@@ -39,6 +41,36 @@ def _newest_rows(df: DataFrame, keys: list[str], time: str, known: DataFrame) ->
     return df.join(wanted, keys).where(is_newest).select(*df.columns)
 
 
+#: Bits of the filter, in words of 64: at most FILTER_BITS / 64 rows of two numbers are broadcast. With
+#: k keys about k / FILTER_BITS of the other rows pass it too.
+FILTER_BITS = 1 << 25
+
+
+def _perhaps_newest_rows(df: DataFrame, keys: list[str], time: str) -> DataFrame:
+    """The rows of each key that have its newest time, an unknown time being the newest, and a few more.
+
+    The newest times set bits of a Bloom filter, whose words are the rows of a small table; a row
+    passes if its own bit is set. df is not shuffled but for one time per key and task."""
+    maxima = df.groupBy(*keys).agg(
+        F.max(F.col(time).isNull()).alias("_unknown"), F.max(time).alias("_newest")
+    )
+    newest = F.when(~F.col("_unknown"), F.col("_newest"))
+    words = maxima.select(_bit(keys, newest).alias("_bit")).groupBy(
+        F.shiftright("_bit", 6).alias("_word")
+    ).agg(F.bit_or(_mask()).alias("_set"))
+    marked = df.withColumn("_bit", _bit(keys, F.col(time))).withColumn("_word", F.shiftright("_bit", 6))
+    passed = marked.join(F.broadcast(words), "_word")
+    return passed.where(F.col("_set").bitwiseAND(_mask()) != 0).select(*df.columns)
+
+
+def _bit(keys: list[str], time: Column) -> Column:
+    return F.pmod(F.xxhash64(*keys, time), F.lit(FILTER_BITS))
+
+
+def _mask() -> Column:
+    return F.expr("shiftleft(1L, CAST(_bit & 63 AS INT))")
+
+
 def latest_with_ties(
     df: DataFrame, keys: list[str], time: str, dimension: DataFrame | None = None
 ) -> DataFrame:

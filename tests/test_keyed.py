@@ -7,6 +7,7 @@ import pytest
 from conftest import plan_of
 from pyspark.sql import functions as F
 
+from spokeline.operators import keyed
 from spokeline.operators.keyed import fold, latest_one, latest_with_ties, upsert
 
 START = datetime(2026, 1, 1)
@@ -28,9 +29,12 @@ def result(df):
     return sorted(tuple(row) for row in df.select("k", "t", "n", "v").collect())
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 25])
 @pytest.mark.parametrize("seed", range(3))
-def test_latest_one(spark, seed):
-    rows = sample(seed)
+def test_latest_one(spark, monkeypatch, seed, bits):
+    """Also when every bit of the filter is set by many keys."""
+    monkeypatch.setattr(keyed, "FILTER_BITS", bits)
+    rows = [*sample(seed), (None, START, 1000, 1), (None, None, 1001, 2), (None, START, 1002, 3)]
     expected = {}
     for row in sorted(rows, key=lambda r: (r[1] is None, r[1] or START, r[2])):
         expected[row[0]] = row
@@ -122,8 +126,11 @@ def test_history_is_not_shuffled_for_a_small_dimension(spark, folder):
     assert "partial_max" in plan
 
 
-def test_latest_one_hands_on_one_row_per_key_and_task(spark):
+def test_latest_one_sorts_only_what_may_be_newest(spark):
     df = spark.range(100).select(
         F.lit("a").alias("k"), F.col("id").cast("timestamp").alias("t"), F.col("id").alias("n")
     )
-    assert "partial_max_by" in plan_of(latest_one(df, ["k"], "t", ["n"]))
+    plan = plan_of(latest_one(df, ["k"], "t", ["n"]), "simple")
+    join = plan.index("BroadcastHashJoin")
+    assert plan.index("partial_max_by") < join and "Sort" not in plan[join:]
+    assert "HashAggregate(keys=[" in plan[join:]

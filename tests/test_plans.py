@@ -30,7 +30,8 @@ def test_scans_read_only_what_they_need(spark):
 @pytest.mark.parametrize("name", [n for n in queries.QUERIES if n not in (
     "stream_feed", "stream_ingest", "batch_run", "export_parse", "export_rejects",
     "rollup_upsert_rerun", "trend_upsert", "export_files", "batch_rerun", "batch_status",
-    "batch_rejects", "status_table_upsert", "stations_table_upsert")])
+    "batch_rejects", "status_table_upsert", "stations_table_upsert",
+    "export_elements")])
 def test_no_cross_joins_and_no_python(spark, name):
     plan = plan_of(queries.QUERIES[name](spark, SF))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas"):
