@@ -103,6 +103,7 @@ def _kpis(renting: str) -> str:
 
 EVENT_TYPE = """CASE WHEN bikes = 0 THEN 'empty_station' WHEN bikes < 3 THEN 'low_bikes'
     WHEN docks = 0 THEN 'full_station' ELSE 'snapshot' END"""
+# The alert styles of the event types.
 COLOUR = """CASE event_type
     WHEN 'empty_station' THEN 'background-color: #d62728; color: white'
     WHEN 'low_bikes' THEN 'background-color: #ff7f0e; color: white'
@@ -394,5 +395,7 @@ ORACLES = {
 
 # The same upsert, of a stored table.
 ORACLES["stations_table_upsert"] = ORACLES["stations_upsert"]
-# The same files, read in another way.
+# The same results, from stored tables or read in another way.
+ORACLES["district_stored_snapshot"] = ORACLES["district_latest_snapshot"]
+ORACLES["recent_stored_events"] = ORACLES["recent_events"]
 ORACLES["export_elements"] = ORACLES["export_files"]

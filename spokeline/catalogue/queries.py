@@ -115,6 +115,13 @@ def district_latest_snapshot(spark, sf_dir):
     return plain_times(views.latest_districts(_rollup_history(spark, sf_dir)))
 
 
+def district_stored_snapshot(spark, sf_dir):
+    """The same from the stored history."""
+    stored = _district_table(spark)
+    stored.replace(_rollup_history(spark, sf_dir))
+    return plain_times(views.latest_stored_districts(stored))
+
+
 def district_long(spark, sf_dir):
     return views.district_bars(_rollup(spark, sf_dir))
 
@@ -123,13 +130,25 @@ def fill_labels(spark, sf_dir):
     return views.district_labels(_rollup(spark, sf_dir))
 
 
-def recent_events(spark, sf_dir):
+def _classified_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = standins.event_rows(spark, sf_dir)
-    classified = rows.withColumn(
+    return rows.withColumn(
         "event_type",
         metrics.classify_event(F.col("num_bikes_available"), F.col("num_docks_available")),
     )
-    return plain_times(views.recent_events(classified, ["event_id"]))
+
+
+def recent_events(spark, sf_dir):
+    return plain_times(views.recent_events(_classified_events(spark, sf_dir), ["event_id"]))
+
+
+def recent_stored_events(spark, sf_dir):
+    """The same from a table partitioned by day."""
+    folder = work_folder(spark, "events")
+    rows = _classified_events(spark, sf_dir).withColumn("day", F.to_date("consumed_at"))
+    rows.repartition("day").write.partitionBy("day").parquet(folder)
+    events = spark.read.parquet(folder)
+    return plain_times(views.recent_stored_events(events, ["event_id"], "day"))
 
 
 def classify_events(spark, sf_dir):
@@ -402,5 +421,6 @@ QUERIES = {
         stations_upsert, rollup_upsert_rerun, trend_upsert, dq_counts, stream_feed,
         stream_ingest, batch_run, export_files, batch_rerun, batch_status, batch_rejects,
         status_table_upsert, stations_table_upsert, export_elements,
+        district_stored_snapshot, recent_stored_events,
     )
 }

@@ -1,11 +1,12 @@
 """The results users read: current state, lists, indicators and trends."""
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spokeline.functions import metrics
 from spokeline.operators.keyed import latest_with_ties
 from spokeline.operators.rollups import WINDOW_HOURS
+from spokeline.sources.tables import DayTable
 
 KPI_TOTALS = ["total_bikes", "total_docks", "total_stations", "total_ebikes", "empty_stations"]
 
@@ -94,6 +95,13 @@ def latest_districts(rollups: DataFrame) -> DataFrame:
     )
 
 
+def latest_stored_districts(table: DayTable) -> DataFrame:
+    """The same from a stored rollup: only the partition of the newest day is read."""
+    rollups = table.with_parts()
+    newest = rollups.select(F.max("part")).scalar()
+    return latest_districts(rollups.where(F.col("part") == newest).drop("part"))
+
+
 def district_bars(districts: DataFrame) -> DataFrame:
     """Bikes and empty stations in long form, one row per district and measure."""
     return districts.unpivot(
@@ -124,6 +132,19 @@ def recent_events(events: DataFrame, order: list[str], limit: int = 50) -> DataF
     )
 
 
+def recent_stored_events(events: DataFrame, order: list[str], day: str, limit: int = 50) -> DataFrame:
+    """recent_events of a table partitioned by the day of consumed_at, in the column day: only the
+    newest days that together hold enough rows, and the rows without a time, are read.
+
+    The rows of the days are counted from the partitions and the files' footers."""
+    days = events.groupBy(day).agg(F.count("*").alias("n"))
+    newer = Window.orderBy(F.desc(day)).rowsBetween(Window.unboundedPreceding, -1)
+    # One row per day; the oldest one that is needed has less than limit rows in newer ones.
+    needed = days.where(F.col(day).isNotNull()).withColumn("newer", F.coalesce(F.sum("n").over(newer), F.lit(0)))
+    first = needed.where(F.col("newer") < limit).select(F.min(day)).scalar()
+    return recent_events(events.where(F.col(day).isNull() | (F.col(day) >= first)), order, limit)
+
+
 def newest_days(events: DataFrame, day: str, as_of: Column, limit: int = 50) -> DataFrame:
     """The days that hold the newest limit rows, so that older partitions are not read.
 

@@ -7,10 +7,12 @@ from conftest import SF, plan_of
 from pyspark.sql import functions as F
 
 from spokeline.catalogue import queries, standins
+from spokeline import schemas
 from spokeline.functions import metrics
 from spokeline.operators import rollups
 from spokeline.plans import views
 from spokeline.session import spread, utc
+from spokeline.sources.tables import DayTable
 
 
 def test_time_windows_reach_the_scan(spark):
@@ -31,7 +33,7 @@ def test_scans_read_only_what_they_need(spark):
     "stream_feed", "stream_ingest", "batch_run", "export_parse", "export_rejects",
     "rollup_upsert_rerun", "trend_upsert", "export_files", "batch_rerun", "batch_status",
     "batch_rejects", "status_table_upsert", "stations_table_upsert",
-    "export_elements")])
+    "export_elements", "district_stored_snapshot")])
 def test_no_cross_joins_and_no_python(spark, name):
     plan = plan_of(queries.QUERIES[name](spark, SF))
     for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "InPandas"):
@@ -67,6 +69,33 @@ def test_newest_snapshot_and_newest_days_prune_partitions(spark, folder):
         assert "ubquery" in partition_filters
 
 
+def test_the_newest_snapshot_is_read_from_its_partition(spark, folder):
+    table = DayTable(spark, f"{folder}/d", schemas.DISTRICTS, schemas.DISTRICTS_KEY, "snapshot_time")
+    rows = [(d, datetime(2026, 1, day, hour), day, hour, 0, 0, 1.5, 0, 0)
+            for d in (1, 2) for day in (1, 2, 3) for hour in (5, 6)]
+    table.replace(spark.createDataFrame(rows, schemas.DISTRICTS))
+    found = views.latest_stored_districts(table)
+    assert [(r.arrondissement, r.total_stations, r.total_bikes) for r in found.collect()] == [(1, 3, 6), (2, 3, 6)]
+    filters = [x.split("\n")[0] for x in plan_of(found).split("PartitionFilters: ")[1:]]
+    assert filters and all("ubquery" in x for x in filters if "part" in x)
+
+
+@pytest.mark.parametrize("limit", [1, 40, 41, 60, 400, 500])
+def test_recent_events_read_the_days_they_need(spark, folder, limit):
+    rows = spark.range(400).select(
+        F.col("id").alias("n"), F.lit("1").alias("station_code"), F.lit("low_bikes").alias("event_type"),
+        F.lit(1).alias("num_bikes_available"), F.col("id").cast("int").alias("num_docks_available"),
+        F.expr("if(id < 3, NULL, make_timestamp(2026, 1, 1 + CAST(id % 20 AS INT), 0, 0, 0))").alias("consumed_at"),
+    )
+    rows.withColumn("day", F.to_date("consumed_at")).write.partitionBy("day").parquet(folder + "/e")
+    events = spark.read.parquet(f"{folder}/e")
+    found = views.recent_stored_events(events, ["n"], "day", limit)
+    assert found.collect() == views.recent_events(rows, ["n"], limit).collect()
+    plan = plan_of(found)
+    assert "TakeOrderedAndProject" in plan or limit > 400
+    assert any("ubquery" in x.split("\n")[0] for x in plan.split("PartitionFilters: ")[1:])
+
+
 def test_align_to_hour(spark):
     status = spark.createDataFrame(
         [("1", datetime(2026, 1, 1, 0, minute), minute, 0) for minute in (5, 25, 45)],
