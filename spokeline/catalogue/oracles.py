@@ -385,6 +385,25 @@ ORACLES = {
                REPLACE (f.is_installed AS is_installed, f.is_returning AS is_returning)
         FROM ranked l JOIN ranked f ON l.station_code = f.station_code AND l.last_reported = f.last_reported
         WHERE l.last_rank = 1 AND f.first_rank = 1""",
+    "key_checks": f"""{BOTH}, trend AS ({_trend(NOW)}),
+        counts AS (
+            SELECT 'stations' AS label, (SELECT count(*) - count(DISTINCT station_code) FROM stations) AS twice,
+                   (SELECT count(*) FROM stations WHERE station_code IS NULL) AS unknown,
+                   (SELECT count(*) FROM stations WHERE length(station_code) > 20) AS too_long
+            UNION ALL
+            SELECT 'trend', (SELECT count(*) FROM (SELECT 1 FROM trend
+                       GROUP BY station_code, hour_bucket HAVING count(*) > 1)),
+                   (SELECT count(*) FROM trend WHERE station_code IS NULL OR hour_bucket IS NULL),
+                   (SELECT count(*) FROM trend WHERE length(station_code) > 20)
+            UNION ALL
+            SELECT 'lineitem', (SELECT count(*) FROM (SELECT 1 FROM lineitem
+                       GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1)),
+                   (SELECT count(*) FROM lineitem WHERE l_orderkey IS NULL OR l_linenumber IS NULL), NULL),
+        rules AS (
+            SELECT label, 'key is not unique' AS rule, twice AS violations FROM counts
+            UNION ALL SELECT label, 'key is null', unknown FROM counts
+            UNION ALL SELECT label, 'station_code is too long', too_long FROM counts WHERE too_long IS NOT NULL)
+        SELECT label, rule, violations, violations = 0 AS passed FROM rules""",
     "batch_rejects": f"""WITH {STATUS}
         SELECT lpad(CAST(event_id AS VARCHAR), 12, '0') AS source, 0 AS pos,
                CASE WHEN floor(value + 7 * n) < 60 THEN 'num_bikes_available is not an integer'

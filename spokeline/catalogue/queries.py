@@ -321,6 +321,17 @@ def dq_counts(spark, sf_dir):
     )
 
 
+def key_checks(spark, sf_dir):
+    """Keys of three tables: unique ones, the rollup's, and one that repeats."""
+    return quality.stored_key_checks(
+        {
+            "stations": (standins.stations(spark, sf_dir), schemas.STATIONS_KEY),
+            "trend": (_trend(spark, sf_dir), schemas.HOURLY_KEY),
+            "lineitem": (table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"]),
+        }
+    )
+
+
 def stream_feed(spark, sf_dir):
     """Exports to a topic, as a stream over the events file; the topic read back."""
     folder = work_folder(spark, "feed")
@@ -421,6 +432,6 @@ QUERIES = {
         stations_upsert, rollup_upsert_rerun, trend_upsert, dq_counts, stream_feed,
         stream_ingest, batch_run, export_files, batch_rerun, batch_status, batch_rejects,
         status_table_upsert, stations_table_upsert, export_elements,
-        district_stored_snapshot, recent_stored_events,
+        district_stored_snapshot, recent_stored_events, key_checks,
     )
 }

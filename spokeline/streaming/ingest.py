@@ -1,23 +1,29 @@
 """Event ingest: topic messages to the event table."""
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from spokeline import schemas
 from spokeline.operators.records import parse_messages
+from spokeline.sources.tables import StoredTable
 
 FLUSH = "5 seconds"
 
 
 def start_ingest(
-    messages: DataFrame, path: str, checkpoint: str, available_now: bool = False
+    messages: DataFrame, path: str, checkpoint: str, available_now: bool = False,
+    unique_within: str | None = None,
 ) -> StreamingQuery:
     """Append every message to the table at path, each exactly once per checkpoint.
 
     Good events and rejects are partitions of one table, so one pass over the topic and one
-    commit write both.
+    commit write both. unique_within leaves out messages that were published again within that time.
     """
+    if unique_within:
+        messages = without_duplicates(messages, unique_within)
     shaped = (
         parse_messages(messages, F.current_timestamp())
         .withColumn("accepted", F.col("reason").isNull())
@@ -34,6 +40,45 @@ def start_ingest(
     )
 
 
+def without_duplicates(messages: DataFrame, within: str) -> DataFrame:
+    """The messages without those that were published before with the same key and value, within the
+    given time of each other by their timestamps.
+
+    Delivery is at least once, so a producer that starts again may publish twice. The state holds a
+    digest per message for that long, dealt out by the digest, and forgets it then."""
+    digest = F.sha2(F.concat_ws("\u0000", F.col("key").cast("string"), F.col("value").cast("string")), 256)
+    known = messages.withColumn("_digest", digest).withWatermark("timestamp", within)
+    return known.dropDuplicatesWithinWatermark(["_digest"]).drop("_digest")
+
+
+def event_archive(spark: SparkSession, path: str) -> StoredTable:
+    """Closed days of the event table, a partition a day; one writer at a time."""
+    columns = [f for f in schemas.STORED_EVENTS if f.name not in ("accepted", "reason", "raw")]
+    return StoredTable(spark, path, schemas.T.StructType(columns), ["partition", "offset"], "consumed_date", "date")
+
+
+def archive_closed_days(spark: SparkSession, path: str, archive: StoredTable, today: date) -> list[date]:
+    """Write the days before today that the archive doesn't have from the sink's many small files as few
+    large ones; returns these days. Days of a lost run are written again as a whole."""
+    events = read_events(spark, path).where(F.col("consumed_date") < F.lit(today))
+    newest = archive.with_parts().agg(F.max("part")).first()[0]
+    if newest is not None:
+        events = events.where(F.col("consumed_date") > F.lit(newest))
+    days = sorted(r[0] for r in events.select("consumed_date").distinct().collect())
+    if days:
+        # Spark makes files of the advisory size, of a large day several.
+        archive.replace(events.hint("rebalance", "consumed_date"))
+    return days
+
+
+def read_all_events(spark: SparkSession, path: str, archive: StoredTable) -> DataFrame:
+    """The event table: closed days from the archive, and the days since from the sink."""
+    closed = archive.with_parts()
+    newest = closed.select(F.coalesce(F.max("part"), F.lit("0001-01-01").cast("date"))).scalar()
+    open_days = read_events(spark, path).where(F.col("consumed_date") > newest)
+    return closed.select(*open_days.columns).unionByName(open_days)
+
+
 def read_events(spark: SparkSession, path: str) -> DataFrame:
     """The event table, with partition and offset for the order of one consume time."""
     stored = spark.read.schema(schemas.STORED_EVENTS).parquet(path).filter("accepted")

@@ -1,6 +1,7 @@
 """Feed and ingest over landed files: one topic folder in between."""
 
 import json
+from datetime import date
 from pathlib import Path
 
 from pyspark.sql import functions as F
@@ -85,3 +86,62 @@ def test_bad_messages_go_to_the_rejects(spark, folder):
     assert [(r["offset"], r["raw"], r["reason"]) for r in bad] == [
         (1, "{}", "station code is missing"), (2, "not json", "message is not JSON")
     ]
+
+
+def publish(folder, name, *messages):
+    """Messages (value, offset, minute) as a file of the topic."""
+    Path(f"{folder}/topic/batch={name}").mkdir(parents=True)
+    with open(f"{folder}/topic/batch={name}/m.json", "w") as file:
+        for value, offset, minute in messages:
+            time = f"2026-06-10T{10 + minute // 60}:{minute % 60:02}:00.000Z"
+            file.write(json.dumps({"key": "k", "value": value, "partition": 0, "offset": offset, "timestamp": time}) + "\n")
+
+
+def test_a_message_published_twice_is_one_event(spark, folder):
+    def ingested():
+        query = ingest.start_ingest(
+            topics.folder_source(spark, f"{folder}/topic/*"), f"{folder}/events", f"{folder}/checkpoint",
+            available_now=True, unique_within="10 minutes",
+        )
+        query.awaitTermination()
+        state = query.lastProgress["stateOperators"][0]["numRowsTotal"] if query.lastProgress else None
+        return sorted(r["offset"] for r in ingest.read_events(spark, f"{folder}/events").collect()), state
+
+    one, two = '{"station_code": "1"}', '{"station_code": "2"}'
+    publish(folder, 0, (one, 0, 0), (two, 1, 1), (one, 2, 2), ("bad", 3, 2))
+    assert ingested()[0] == [0, 1]
+    # Again in another run, within the time: nothing new.
+    publish(folder, 1, (two, 4, 5), ('{"station_code": "3"}', 5, 6))
+    assert ingested()[0] == [0, 1, 5]
+    # Long after, the state is forgotten, and the same content is a new message.
+    publish(folder, 2, ('{"station_code": "4"}', 6, 200))
+    ingested()
+    publish(folder, 3, (one, 7, 201))
+    found, state = ingested()
+    assert found == [0, 1, 5, 6, 7] and state <= 2
+
+
+def test_closed_days_are_archived_in_few_files(spark, folder):
+    for n in range(50):
+        publish(folder, n, *((f'{{"station_code": "{n}", "num_ebikes": {m}}}', 10 * n + m, m) for m in range(2)))
+    schema = topics.folder_source(spark, f"{folder}/topic/*", files_per_trigger=1)
+    # Three days, as the consume time is the clock's.
+    shaped = records.parse_messages(schema, F.current_timestamp()).withColumn("accepted", F.col("reason").isNull())
+    shaped = shaped.withColumn("consumed_date", F.date_add(F.lit("2026-01-01").cast("date"), (F.col("offset") % 3).cast("int")))
+    shaped.writeStream.format("parquet").partitionBy("accepted", "consumed_date").option("path", f"{folder}/events").option(
+        "checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    files = lambda place: [p for p in Path(place).rglob("*.parquet")]
+    assert len(files(f"{folder}/events")) >= 50
+    show = lambda df: sorted(
+        (r.offset, r.station_code, r.num_ebikes, r.consumed_date, r.p)
+        for r in df.withColumn("p", F.to_json("payload")).collect()
+    )
+    expected = show(ingest.read_events(spark, f"{folder}/events"))
+    archive = ingest.event_archive(spark, f"{folder}/archive")
+    assert show(ingest.read_all_events(spark, f"{folder}/events", archive)) == expected
+    for today, days in ((date(2026, 1, 2), 1), (date(2026, 1, 2), 0), (date(2026, 1, 3), 1)):
+        assert len(ingest.archive_closed_days(spark, f"{folder}/events", archive, today)) == days
+        both = ingest.read_all_events(spark, f"{folder}/events", archive)
+        assert show(both) == expected
+    assert len(files(f"{folder}/archive")) == 2
+    assert {str(p).split("part=")[1][:10] for p in files(f"{folder}/archive")} == {"2026-01-01", "2026-01-02"}
