@@ -16,11 +16,11 @@ Equal texts are one class from the start and only the smallest doc_id of each go
 every document is first aligned with the smallest one. Where that leaves more than one class in a
 bucket, the documents outside the largest are aligned with another one of it, and then all documents
 of classes that still differ are compared. A passage that many texts contain makes
-crowded buckets of unlike documents; these are dealt out in pairs of blocks. A signature of a text's
-words gives a lower bound of the edit distance, so only pairs that may be linked are aligned.
+crowded buckets of unlike documents; these are dealt out in pairs of blocks, and a task compares and
+aligns the documents of two blocks, so that only links come out of it. A signature of a text's words
+gives a lower bound of the edit distance, so only pairs that may be linked are aligned.
 """
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,13 +39,13 @@ SKETCHES = 64
 SHORT = 10
 FEW = 64
 #: Documents outside a bucket's largest class beyond which the bucket is compared in pairs of blocks
-#: of about so many rows; all pairs are compared either way.
+#: of about so many rows and words; all pairs are compared either way.
 CROWD = 32
 BLOCK_ROWS = 512
+BLOCK_WORDS = 1 << 20
 #: Bits of a text's signature.
-SIGNATURE = 1024
+SIGNATURE = 2048
 BLOCK = 1 << 16
-ALIGN_CELLS = 1 << 20
 
 _salts = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, SKETCHES, dtype=np.uint64) | np.uint64(1)
 
@@ -85,11 +85,14 @@ def sketches(shingles: np.ndarray, ordered: int = ORDERED) -> np.ndarray:
 
 
 def signatures(hashes: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """A row of SIGNATURE bits a text: whether the number of its words with that hash is odd.
+    """A row of SIGNATURE bits a text: whether the number of its labelled words with that hash is odd.
 
-    An inserted or deleted word changes one bit, a replaced one at most two."""
+    Words are labelled with their occurrence number, so one that is frequent in one text only counts as
+    often as it is there. An inserted or deleted word changes one bit, a replaced one at most two."""
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    cells, n = np.unique(text * SIGNATURE + (hashes % np.uint64(SIGNATURE)).astype(np.int64), return_counts=True)
+    apart = hashes + text.astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)
+    labelled = mix(hashes + _occurrences(apart) * np.uint64(0x9E3779B97F4A7C15))
+    cells, n = np.unique(text * SIGNATURE + (labelled % np.uint64(SIGNATURE)).astype(np.int64), return_counts=True)
     cells = cells[n % 2 == 1]
     out = np.zeros((len(first) - 1, SIGNATURE // 8), dtype=np.uint8)
     np.bitwise_or.at(out, (cells // SIGNATURE, cells % SIGNATURE // 8), (1 << (cells % 8)).astype(np.uint8))
@@ -104,7 +107,9 @@ def _bits(column: pa.Array) -> np.ndarray:
 def _near(n: np.ndarray, m: np.ndarray, bits: np.ndarray, other: np.ndarray) -> np.ndarray:
     """Whether texts of n and m words with these signatures may be linked."""
     most = (np.maximum(n, m) * (1 - SIMILARITY) + 1e-9).astype(np.int64)
-    return (abs(n - m) <= most) & (np.bitwise_count(bits ^ other).sum(axis=1, dtype=np.int64) <= 2 * most)
+    # Of the words that only one side has, an edit settles at most one of each side.
+    only = np.bitwise_count(bits ^ other).sum(axis=1, dtype=np.int64)
+    return (abs(n - m) <= most) & (only + abs(n - m) <= 2 * most)
 
 
 def shorter(hashes: np.ndarray) -> np.ndarray:
@@ -149,17 +154,11 @@ def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def distances(pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
-    """Edit distance of each pair of sequences, or -1 beyond (1 - SIMILARITY) of the longer.
-
-    A band of diagonals around the main one gives the exact distance if that is not over the band's
-    half width. A pair's first band is a little wider than a lower bound of its distance, and grows
-    four times until it is enough, or reaches what SIMILARITY allows.
-    """
+    """Edit distance of each pair of sequences, or -1 beyond (1 - SIMILARITY) of the longer."""
     out = np.full(len(pairs), -1)
-    most = np.array([int(max(len(a), len(b)) * (1 - SIMILARITY) + 1e-9) for a, b in pairs], dtype=np.int64)
-    todo, trimmed = defaultdict(list), {}
     for i, (a, b) in enumerate(pairs):
-        if abs(len(a) - len(b)) > most[i]:
+        most = int(max(len(a), len(b)) * (1 - SIMILARITY) + 1e-9)
+        if abs(len(a) - len(b)) > most:
             continue
         n = min(len(a), len(b))
         differ = np.flatnonzero(a[:n] != b[:n])
@@ -167,82 +166,44 @@ def distances(pairs: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         a, b, n = a[head:], b[head:], n - head
         differ = np.flatnonzero(a[len(a) - n :][::-1] != b[len(b) - n :][::-1])
         tail = int(differ[0]) if len(differ) else n
-        a, b = a[: len(a) - tail], b[: len(b) - tail]
-        if not len(a) or not len(b):
-            out[i] = max(len(a), len(b))
-            continue
-        least = _least_edits(a, b)
-        if least <= most[i]:
-            trimmed[i] = (a, b)
-            todo[max(8, 1 << (least + least // 4 + 1).bit_length())].append(i)
-    while todo:
-        band = min(todo)
-        waiting = sorted(todo.pop(band), key=lambda i: max(map(len, trimmed[i])))
-        at = 0
-        while at < len(waiting):
-            to = at + 1
-            while to < len(waiting) and (to - at) * (max(map(len, trimmed[waiting[to]])) + 2 * band) < ALIGN_CELLS:
-                to += 1
-            group = waiting[at:to]
-            found = _banded([trimmed[i] for i in group], band)
-            for i, d in zip(group, found.tolist(), strict=True):
-                if d <= min(band, most[i]):
-                    out[i] = d
-                elif band < most[i]:
-                    todo[band * 4].append(i)
-            at = to
+        a, b = a[: len(a) - tail].tolist(), b[: len(b) - tail].tolist()
+        distance = _banded(a, b, most) if len(a) <= len(b) else _banded(b, a, most)
+        out[i] = distance if distance <= most else -1
     return out
 
 
-def _least_edits(a: np.ndarray, b: np.ndarray) -> int:
-    """A lower bound: an edit changes at most two pairs of neighbours of the longer sequence."""
-    (x, n), (y, m) = (
-        np.unique(s[:-1] * np.uint64(0x9E3779B97F4A7C15) + s[1:], return_counts=True) for s in (a, b)
-    )
-    longer = max(len(a), len(b))
-    if not len(x) or not len(y):
-        return longer // 2
-    at = np.minimum(np.searchsorted(x, y), len(x) - 1)
-    common = int(np.where(x[at] == y, np.minimum(n[at], m), 0).sum())
-    return max(abs(len(a) - len(b)), -(-(longer - 1 - common) // 2))
-
-
-def _banded(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
-    """Edit distances within a band of diagonals; over the band: some larger number."""
-    n, width = len(pairs), 2 * band + 1
-    rows = max(len(a) for a, _ in pairs)
-    la, lb = (np.array([len(p[k]) for p in pairs]) for k in (0, 1))
-    a = np.zeros((n, rows), dtype=np.uint64)
-    b = np.zeros((n, rows + width + 1), dtype=np.uint64)
-    for i, (x, y) in enumerate(pairs):
-        a[i, : len(x)] = x
-        y = y[: rows + band + 1]
-        b[i, band : band + len(y)] = y
-    big = np.int32(1 << 29)
-    shift = np.arange(width, dtype=np.int32)
-    # cost[i, k]: the first `row` of a against the first row + k - band of b, less k.
-    start = np.where(shift >= band, -band, big).astype(np.int32)
-    cost = np.repeat(start[None, :], n, 0)
-    done = np.full(n, big)
-    reach = lb - la + band  # the diagonal of the result
-    inside = (reach >= 0) & (reach < width)
-    ends = defaultdict(list)
-    for i in np.flatnonzero(inside).tolist():
-        ends[int(la[i])].append(i)
-    best, apart = np.empty_like(cost), np.empty((n, width), dtype=bool)
-    for row in range(1, rows + 1):
-        np.not_equal(a[:, row - 1 : row], b[:, row - 1 : row - 1 + width], out=apart)
-        np.add(cost, apart, out=best)
-        # From the diagonal to the right; less k, a step there costs two.
-        np.minimum(best[:, :-1], cost[:, 1:] + np.int32(2), out=best[:, :-1])
-        if row <= band:
-            best[:, : band - row] = big
-            best[:, band - row] = row - (band - row)
-        np.minimum.accumulate(best, axis=1, out=cost)
-        if row in ends:
-            at = np.array(ends[row])
-            done[at] = cost[at, reach[at]] + reach[at]
-    return done
+def _banded(a: list[int], b: list[int], band: int) -> int:
+    """Edit distance of a and b (not shorter) if it is at most band, which their lengths differ by at most;
+    else some larger number. Only cells within band diagonals of the main one are computed.
+
+    Column by column of b; bit t of the numbers stands for row column - band + t of a. plus and minus
+    are the rows whose cell is one more, or one less, than the cell above; diagonal those whose cell
+    equals the one before on its diagonal; right and left those that are one more or less than the cell
+    in the column before.
+    """
+    places: dict[int, int] = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    mask = (1 << 2 * band + 1) - 1
+    plus, minus = mask >> band << band, 0
+    distance, longer = 0, len(b) - len(a)
+    for column, x in enumerate(b, 1):
+        shift = column - band - 1
+        match = places.get(x, 0)
+        match = (match >> shift if shift >= 0 else match << -shift) & mask | minus
+        diagonal = ((((match & plus) + plus) ^ plus) | match) & mask
+        right = minus | mask ^ (diagonal | plus)
+        left = diagonal & plus
+        if column <= len(a):
+            distance += 1 - (diagonal >> band & 1)
+            if distance > band + longer:
+                return distance
+        else:
+            row = len(a) - column + band
+            distance += (right >> row & 1) - (left >> row & 1)
+        plus = left | mask ^ (diagonal >> 1 | right)
+        minus = diagonal >> 1 & right
+    return distance
 
 
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,11 +277,11 @@ def _strays(held: DataFrame) -> DataFrame:
 
 
 def _across(held: DataFrame, sketched: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different classes in the _mixed() buckets that may be linked.
+    """Pairs (a, b) of different classes in the _mixed() buckets with at most CROWD documents outside
+    the largest class that may be linked.
 
-    Each document outside a bucket's largest class is compared with all others of other classes. A
-    bucket with at most CROWD such documents gives at most CROWD pairs for each of its rows, each pair
-    in the first of these buckets that it shares. The other buckets are compared by blocks.
+    Each of these documents is compared with all others of other classes, so a bucket gives at most
+    CROWD pairs for each of its rows, each pair in the first of these buckets that it shares.
     """
     ready = held.where(F.col("rest") <= CROWD).select("key", "doc_id", "n_words", "class_id", "main")
     keys = ready.groupBy("doc_id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
@@ -330,38 +291,82 @@ def _across(held: DataFrame, sketched: DataFrame) -> DataFrame:
     first = F.expr(f"x.key = y.key AND x.class_id <> y.class_id AND {once}")
     pairs = one.join(other, first & _fits("x.n_words", "y.n_words"))
     pairs = pairs.select(F.least("x.doc_id", "y.doc_id").alias("a"), F.greatest("x.doc_id", "y.doc_id").alias("b"))
-    crowded = held.where(F.col("rest") > CROWD).join(sketched.select("doc_id", "signature"), "doc_id")
-    return possible(sketched, pairs.distinct()).unionByName(_crowded(crowded)).distinct()
-
-
-def _crowded(rows: DataFrame) -> DataFrame:
-    """Pairs of different classes that may be linked, of buckets (key, n, doc_id, n_words, class_id,
-    signature) whose rows are dealt into blocks; a task has a pair of blocks at a time."""
-    blocks = F.ceil(F.col("n") / BLOCK_ROWS)
-    rows = rows.withColumn("blocks", blocks).withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
+    return possible(sketched, pairs.distinct()).distinct()
+
+
+def _crowded_links(held: DataFrame, sketched: DataFrame, docs: DataFrame) -> DataFrame:
+    """Links (a, b) between different classes in the other _mixed() buckets.
+
+    A bucket's rows are dealt into blocks of about BLOCK_ROWS rows and BLOCK_WORDS words, and a task
+    compares and aligns all rows of a pair of blocks, so unlike documents with a passage in common never
+    make rows of their own. A pair that shares several of these buckets is compared in the first."""
+    crowded = held.where(F.col("rest") > CROWD).select("key", "doc_id", "n_words", "class_id")
+    size = crowded.groupBy("key").agg(F.count("*").alias("n"), F.sum("n_words").alias("words"))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_ROWS, F.col("words") / BLOCK_WORDS, F.lit(1.0)))
+    rows = crowded.join(size.select("key", blocks.alias("blocks")), "key")
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
+    keys = crowded.groupBy("doc_id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
+    text = docs.join(keys, "doc_id").join(sketched.select("doc_id", "signature"), "doc_id")
+    rows = rows.join(text, "doc_id")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
-    rows = rows.select("key", "low", "high", "block", "doc_id", "n_words", "class_id", "signature")
+    rows = rows.select("key", "low", "high", "block", "doc_id", "n_words", "class_id", "signature", "keys", "text")
     return rows.groupBy("key", "low", "high").applyInArrow(_blocks, "a long, b long")
 
 
+def _earlier_keys(keys: pa.Array, key: int) -> np.ndarray:
+    """Bits of the keys below key that each row has, as rows of 64-bit integers."""
+    row = np.repeat(np.arange(len(keys)), np.diff(keys.offsets.to_numpy()))
+    value = keys.flatten().to_numpy()
+    row, value = row[value < key], value[value < key]
+    known, number = np.unique(value, return_inverse=True)
+    out = np.zeros((len(keys), -(-len(known) // 64) or 1), dtype=np.uint64)
+    np.bitwise_or.at(out, (row, number // 64), np.uint64(1) << (number % 64).astype(np.uint64))
+    return out
+
+
 def _blocks(table: pa.Table) -> pa.Table:
-    """The pairs of two blocks, or within one, that are of different classes and may be linked."""
-    table = table.combine_chunks().sort_by("n_words")
-    block, doc, n, of = (table[name].to_numpy() for name in ("block", "doc_id", "n_words", "class_id"))
-    bits = _bits(table["signature"].combine_chunks())
+    """Links between the rows of two blocks, or within one, that are of different classes; rows that
+    these links join already are not compared again."""
+    table = table.combine_chunks().sort_by("n_words").combine_chunks()
+    column = lambda name: table[name].chunk(0)
+    block, doc, n, of = (column(name).to_numpy() for name in ("block", "doc_id", "n_words", "class_id"))
+    bits, earlier = _bits(column("signature")), _earlier_keys(column("keys"), table["key"][0].as_py())
+    found = words(column("text"))
+    hashes = np.split(found.hashes(), found.first[1:-1])
+    known, of = np.unique(of, return_inverse=True)
+    top = list(range(len(known)))
+
+    def class_of(x: int) -> int:
+        while top[x] != x:
+            top[x] = x = top[top[x]]
+        return x
+
     one, other = np.flatnonzero(block == table["low"][0].as_py()), np.flatnonzero(block == table["high"][0].as_py())
-    a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    links: list[tuple[int, int]] = []
     within = len(one) == len(table)
     for i in one.tolist():
         least = int(np.searchsorted(n[other], n[i] * SIMILARITY - 1))
         to = int(np.searchsorted(n[other], (n[i] + 1) / SIMILARITY + 1, side="right"))
         at = other[max(least, i + 1 if within else 0) : to]
-        at = at[of[at] != of[i]]
+        at = at[(of[at] != of[i]) & ~(earlier[at] & earlier[i]).any(axis=1)]
         at = at[_near(n[i], n[at], bits[i], bits[at])]
-        a.append(np.minimum(doc[i], doc[at]))
-        b.append(np.maximum(doc[i], doc[at]))
-    return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
+        for j in at.tolist():
+            x, y = class_of(int(of[i])), class_of(int(of[j]))
+            if x != y and distances([(hashes[i], hashes[j])])[0] >= 0:
+                top[max(x, y)] = min(x, y)
+                links.append((min(doc[i], doc[j]), max(doc[i], doc[j])))
+    a, b = zip(*links, strict=True) if links else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _one_text_each(docs: DataFrame) -> DataFrame:
+    """docs with the smallest text (by its bytes) of each doc_id; only texts of repeated ids are moved."""
+    repeated = stored(docs.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if repeated.isEmpty():
+        return docs
+    chosen = docs.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min("text").alias("text"))
+    return docs.join(repeated, "doc_id", "left_anti").select("doc_id", "text").unionByName(chosen)
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -370,8 +375,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     docs: doc_id long, text string; other columns are ignored. Returns one row per distinct non-null
     doc_id: doc_id, class_id (the smallest doc_id of its class), n_words and class_size. A null text
     counts as empty; empty texts equal each other and nothing else. A text of one word
-    has one shingle, that word. Of rows that share a doc_id the one with the smallest text counts;
-    rows with a null doc_id are left out.
+    has one shingle, that word. Of rows that share a doc_id the one with the smallest text counts,
+    whatever their order; rows with a null doc_id are left out. Long texts are sketched and aligned
+    whole. An empty table gives an empty one.
     """
     spark = docs.sparkSession
     bound_batches(spark)
@@ -379,14 +385,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
         .where("doc_id IS NOT NULL")
     )
-    content = F.sha2(F.col("text").cast("binary"), 256)
-    same = docs.withColumn("content", F.unhex(content)).groupBy("doc_id").agg(F.min("content").alias("content"))
-    same = stored(same, "contents")
+    docs = _one_text_each(docs)
+    content = F.unhex(F.sha2(F.col("text").cast("binary"), 256))
+    same = stored(docs.select("doc_id", content.alias("content")), "contents")
     least = same.groupBy("content").agg(F.min("doc_id").alias("rep"), F.count("*").alias("n")).where("n > 1")
     member = looked_up(same, least.drop("n"), "content", "doc_id")
     member = stored(member.select("doc_id", F.coalesce("rep", "doc_id").alias("rep")), "members")
     sketched = docs.mapInArrow(_sketch_rows, "doc_id long, n_words long, keys array<long>, signature binary")
-    sketched = stored(sketched.dropDuplicates(["doc_id"]), "sketches")
+    sketched = stored(sketched, "sketches")
     reps = member.where("doc_id = rep").select("doc_id")
     rows = (
         sketched.join(reps, "doc_id", "left_semi")
@@ -407,6 +413,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = _across(held, sketched).join(stars, ["a", "b"], "left_anti").join(strays, ["a", "b"], "left_anti")
     pairs = stored(pairs, "across")
     links = links.unionByName(stored(linked(docs, pairs), "links"))
+    links = links.unionByName(stored(_crowded_links(held, sketched, docs), "links"))
     classes = components(links)
     found = looked_up(member, classes.select(F.col("id").alias("rep"), "class_id"), "rep", "doc_id")
     found = found.select("doc_id", F.coalesce("class_id", "rep").alias("class_id"))
