@@ -306,7 +306,10 @@ def _crowded_links(held: DataFrame, sketched: DataFrame, docs: DataFrame) -> Dat
     rows = crowded.join(size.select("key", blocks.alias("blocks")), "key")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
     keys = crowded.groupBy("doc_id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    text = docs.join(keys, "doc_id").join(sketched.select("doc_id", "signature"), "doc_id")
+    # Their ids alone may be small enough to broadcast, and then no other text is shuffled.
+    ids = crowded.select("doc_id").distinct()
+    text = docs.join(ids, "doc_id", "left_semi").join(keys, "doc_id")
+    text = text.join(sketched.select("doc_id", "signature").join(ids, "doc_id", "left_semi"), "doc_id")
     rows = rows.join(text, "doc_id")
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
