@@ -306,8 +306,9 @@ def _crowded_links(held: DataFrame, sketched: DataFrame, docs: DataFrame) -> Dat
     rows = crowded.join(size.select("key", blocks.alias("blocks")), "key")
     rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), "blocks"))
     keys = crowded.groupBy("doc_id").agg(F.sort_array(F.collect_set("key")).alias("keys"))
-    # Their ids alone may be small enough to broadcast, and then no other text is shuffled.
-    ids = crowded.select("doc_id").distinct()
+    # Written, their ids have a size that is known before a join with them is planned; where it is small
+    # enough to broadcast, no other text is shuffled.
+    ids = stored(crowded.select("doc_id").distinct(), "crowded")
     text = docs.join(ids, "doc_id", "left_semi").join(keys, "doc_id")
     text = text.join(sketched.select("doc_id", "signature").join(ids, "doc_id", "left_semi"), "doc_id")
     rows = rows.join(text, "doc_id")
