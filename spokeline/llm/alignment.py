@@ -133,7 +133,8 @@ def group_ends(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[list[int], list[
 @dataclass
 class Aligned:
     """The tokens of a slice of texts in a row, and for each group where its tokens begin and how many
-    they are. Text t has groups first[t]:first[t + 1]."""
+    they are. Text t has groups first[t]:first[t + 1]; tokens has its ids and how many of each have ended
+    at the end of each group."""
 
     a: np.ndarray
     b: np.ndarray
@@ -142,7 +143,7 @@ class Aligned:
     size_a: np.ndarray
     size_b: np.ndarray
     first: np.ndarray
-    tokens: list[tuple[list[int], list[int], list[int], list[int]]]
+    tokens: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
 
     @property
     def text(self) -> np.ndarray:
@@ -156,15 +157,15 @@ class Aligned:
 
 
 def align(models: Tokenizers, texts: list[str | None]) -> Aligned:
-    tokens, arrays = [], []
+    # Arrays only, as the garbage collector would go through lists of numbers again and again.
+    tokens = []
     for ids in models.encode(texts):
         a, b = (np.array(x, dtype=np.int64) for x in ids)
         cuts = group_ends(np.cumsum(models.length_a[a]), np.cumsum(models.length_b[b]))
-        tokens.append((*ids, *cuts))
-        arrays.append((a, b, *(np.array(x, dtype=np.int64) for x in cuts)))
-    a, b, ends_a, ends_b = (np.concatenate([x[k] for x in arrays] or [[]]).astype(np.int64) for k in range(4))
-    before_a, before_b, first = (np.concatenate([[0], np.cumsum([len(x[k]) for x in arrays])]).astype(np.int64) for k in range(3))
-    text = np.repeat(np.arange(len(arrays)), np.diff(first))
+        tokens.append((a, b, *(np.array(x, dtype=np.int64) for x in cuts)))
+    a, b, ends_a, ends_b = (np.concatenate([x[k] for x in tokens] or [[]]).astype(np.int64) for k in range(4))
+    before_a, before_b, first = (np.concatenate([[0], np.cumsum([len(x[k]) for x in tokens])]).astype(np.int64) for k in range(3))
+    text = np.repeat(np.arange(len(tokens)), np.diff(first))
     ends_a, ends_b = ends_a + before_a[text], ends_b + before_b[text]
     start_a, start_b = (np.concatenate([[0], x[:-1]])[: len(x)] for x in (ends_a, ends_b))
     return Aligned(a, b, start_a, start_b, ends_a - start_a, ends_b - start_b, first, tokens)
@@ -406,7 +407,7 @@ def aligned_tokens(docs: DataFrame, path_a: str = BYTES_A, path_b: str = PIECES_
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, size=SLICE):
             found = align(models(), batch.column("text").to_pylist()).tokens
-            lists = [pa.array([x[k] for x in found], pa.list_(pa.int32())) for k in range(4)]
+            lists = [pa.array([x[k].tolist() for x in found], pa.list_(pa.int32())) for k in range(4)]
             names = ["doc_id", "a_ids", "b_ids", "a_ends", "b_ends"]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *lists], names)
 

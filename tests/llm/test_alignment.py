@@ -122,7 +122,7 @@ def test_small_windows_and_portions(spell, monkeypatch):
     assert all((x == y).all() for x, y in zip(plain, alignment.distinct_links(again, 32000), strict=True))
     for text, (a, b, ends_a, ends_b) in zip(texts, again.tokens, strict=True):
         own = groups_of(*spell(text))
-        cut = lambda ids, ends: [ids[x:y] for x, y in zip([0, *ends], ends, strict=False)]
+        cut = lambda ids, ends: [ids[x:y].tolist() for x, y in zip([0, *ends], ends, strict=False)]
         assert [list(g) for g in zip(cut(a, ends_a), cut(b, ends_b), strict=True)] == [list(g) for g in own]
 
 
