@@ -5,12 +5,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spokeline.llm.boosting import Trees, fit
+from spokeline.llm.components import stored
 
 #: Labelled URLs that the trees are fitted on.
 FIT_ROWS = 20000
 THRESHOLD = 0.5
 #: Labelled URLs' worth of the average that a suffix's own share is mixed with.
 SMOOTHING = 10.0
+#: Parts of the labelled URLs; a URL that trees are fitted on has the suffix statistics of the other parts.
+FOLDS = 5
 
 RULES = (
     ("org/", "allow"),
@@ -22,7 +25,7 @@ RULES = (
 
 FEATURES = (
     "f_length f_host_length f_path_length f_depth f_labels f_longest_label f_digit_ratio f_hyphens f_entropy "
-    "f_parameters f_query_length f_fragment f_escapes f_secure f_suffix_share f_suffix_count"
+    "f_parameters f_query_length f_fragment f_escapes f_secure f_suffix_share f_suffix_count f_domain_share f_domain_count"
 ).split()
 
 
@@ -68,13 +71,22 @@ def _entropy(text: Column) -> Column:
     return F.when(n > 0, total).otherwise(0.0)
 
 
-def with_features(parts: DataFrame, suffixes: DataFrame, average: float) -> DataFrame:
-    """parts (url, host, path) with the trees' features. suffixes: suffix, share, n of a bounded sample."""
+def _suffixes() -> list[Column]:
+    """The last label of host, and the last two, with a dot before the only one."""
+    return [F.substring_index("host", ".", -1), F.substring_index(F.concat(F.lit("."), F.col("host")), ".", -2)]
+
+
+def _fold() -> Column:
+    return F.pmod(F.xxhash64("url"), F.lit(FOLDS)).cast("int")
+
+
+def with_features(parts: DataFrame, suffixes: DataFrame, average: float, without: Column) -> DataFrame:
+    """parts (url, host, path) with the trees' features. suffixes and average: suffix_statistics(); of these,
+    the rows that leave out the part without (-1: none)."""
     url, host, path = F.coalesce("url", F.lit("")), F.col("host"), F.col("path")
     labels = F.split(host, "\\.")
     query = F.regexp_extract(url, "\\?([^#]*)", 1)
     digits = F.length(F.regexp_replace(url, "[^0-9]", ""))
-    known = suffixes.select("suffix", F.col("share").alias("f_suffix_share"), F.col("n").alias("f_suffix_count"))
     values = {
         "f_length": F.length(url),
         "f_host_length": F.length(host),
@@ -91,36 +103,41 @@ def with_features(parts: DataFrame, suffixes: DataFrame, average: float) -> Data
         "f_escapes": _count(url, "%"),
         "f_secure": F.startswith(url, F.lit("https:")).cast("int"),
     }
-    rows = parts.withColumns(values).withColumn("suffix", F.substring_index("host", ".", -1))
-    # One row per suffix of at most FIT_ROWS labelled URLs.
-    rows = rows.join(F.broadcast(known), "suffix", "left").drop("suffix")
-    return rows.withColumns({
-        "f_suffix_share": F.coalesce("f_suffix_share", F.lit(average)),
-        "f_suffix_count": F.coalesce("f_suffix_count", F.lit(0)),
-    })
+    rows = parts.withColumns(values).withColumn("without", without)
+    share = F.lit(average)
+    # The table grows with the labelled hosts, so Spark chooses the join by its size.
+    for name, suffix in zip(("suffix", "domain"), _suffixes(), strict=True):
+        known = suffixes.select("suffix", "without", F.col("n_bad").alias("known_bad"), F.col("n").alias("known_n"))
+        rows = rows.withColumn("suffix", suffix).join(known, ["suffix", "without"], "left").drop("suffix")
+        bad, n = F.coalesce("known_bad", F.lit(0)), F.coalesce("known_n", F.lit(0))
+        rows = rows.withColumns({f"f_{name}_share": (bad + share * SMOOTHING) / (n + SMOOTHING), f"f_{name}_count": n})
+        rows = rows.drop("known_bad", "known_n")
+        share = F.col(f"f_{name}_share")
+    return rows.drop("without")
 
 
 def suffix_statistics(labelled: DataFrame) -> tuple[DataFrame, float]:
-    """Share of bad URLs by last host label, drawn to the average where a suffix is rare."""
-    average = labelled.agg(F.avg("bad")).first()[0]
-    average = 0.5 if average is None else float(average)
-    rows = labelled.groupBy(F.substring_index("host", ".", -1).alias("suffix")).agg(
-        F.sum("bad").alias("bad"), F.count("*").alias("n")
-    )
-    share = (F.col("bad") + F.lit(average * SMOOTHING)) / (F.col("n") + SMOOTHING)
-    return rows.select("suffix", share.alias("share"), "n"), average
+    """Of all labelled URLs: n_bad and n by suffix (last host label, or last two) and the part of the URLs left out
+    (without; -1: none), and the average of bad. Counts are summed before a suffix meets its others."""
+    rows = with_parts(labelled).select(F.explode(F.array(*_suffixes())).alias("suffix"), _fold().alias("fold"), "bad")
+    counts = rows.groupBy("suffix", "fold").agg(F.sum("bad").alias("n_bad"), F.count("*").alias("n"))
+    kept = counts.withColumn("without", F.explode(F.sequence(F.lit(-1), F.lit(FOLDS - 1)))).where("without <> fold")
+    kept = kept.groupBy("suffix", "without").agg(F.sum("n_bad").alias("n_bad"), F.sum("n").alias("n"))
+    kept = stored(kept, "suffixes")
+    average = kept.where("without = -1").agg(F.sum("n_bad") / F.sum("n")).first()[0]
+    return kept, 0.5 if average is None else float(average)
 
 
 def train(labelled: DataFrame) -> tuple[Trees, DataFrame, float]:
-    """Trees and suffix statistics from labelled URLs (url, bad: 1 is to be blocked), of which the
-    FIT_ROWS first by a hash of the URL count. Null labels don't; without rows all is 0.5."""
-    chosen = labelled.where("bad IS NOT NULL").select("url", F.col("bad").cast("int").alias("bad"))
-    chosen = with_parts(chosen.orderBy(F.xxhash64("url"), "url", "bad").limit(FIT_ROWS))
-    suffixes, average = suffix_statistics(chosen)
-    suffixes = suffixes.sparkSession.createDataFrame(
-        [tuple(row) for row in suffixes.collect()], "suffix string, share double, n long"
-    )
-    rows = with_features(chosen, suffixes, average).select("bad", *(F.col(f).cast("double") for f in FEATURES)).collect()
+    """Trees and suffix statistics from labelled URLs (url, bad: 1 is to be blocked). The statistics count all of
+    them; the trees are fitted on the FIT_ROWS first by a hash of the URL, each with statistics of
+    the parts it isn't in, so that its own label isn't among its features. Null labels don't count;
+    without rows all is 0.5."""
+    labelled = labelled.where("bad IS NOT NULL").select("url", F.col("bad").cast("int").alias("bad"))
+    suffixes, average = suffix_statistics(labelled)
+    chosen = with_parts(labelled.orderBy(F.xxhash64("url"), "url", "bad").limit(FIT_ROWS))
+    rows = with_features(chosen, suffixes, average, _fold())
+    rows = rows.select("bad", *(F.col(f).cast("double") for f in FEATURES)).collect()
     rows.sort()
     table = np.array([tuple(row) for row in rows], dtype=np.float64).reshape(-1, 1 + len(FEATURES))
     return fit(table[:, 1:], table[:, 0]), suffixes, average
@@ -131,9 +148,10 @@ def judge(urls: DataFrame, rules: tuple, model: tuple[Trees, DataFrame, float])
 
     verdict is the longest fitting rule's, else block where the trees' probability of a bad URL,
     bad_share, reaches THRESHOLD. A null url has an empty host and path, fits no rule and is judged
-    by its features, all zero. Every row is judged; repeated rows alike."""
+    by the features of an empty text. Every row of any length is judged, repeated rows alike; an empty table
+    gives an empty one."""
     trees, suffixes, average = model
-    rows = with_features(with_parts(urls.select("page_id", "url")), suffixes, average)
+    rows = with_features(with_parts(urls.select("page_id", "url")), suffixes, average, F.lit(-1))
     rule, says = rule_of(rules)
     odds = trees.column([F.col(f).cast("double") for f in FEATURES])
     rows = rows.withColumn("bad_share", 1 / (1 + F.exp(-odds)))
