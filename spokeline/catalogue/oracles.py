@@ -334,6 +334,14 @@ ORACLES = {
     "stream_ingest": f"""WITH {TOPIC}
         SELECT "offset", station_code, event_type, num_bikes_available, num_docks_available,
                num_ebikes FROM consumed WHERE reason IS NULL""",
+    "stream_order": f"""WITH {TOPIC}
+        SELECT station_code, count(*) AS n_events, true AS in_order
+        FROM consumed WHERE reason IS NULL GROUP BY station_code""",
+    "payload_stored": f"""WITH {TOPIC}
+        SELECT "offset", c.station_code, extra,
+               CASE WHEN form IN ('view', 'signup') THEN bikes END AS bikes,
+               CAST(e.ts AS DATE) AS consumed_date
+        FROM consumed c JOIN events e ON e.event_id = c."offset" WHERE reason IS NULL""",
     "batch_run": f"""WITH {RECORDS}, newest AS (
             SELECT * EXCLUDE (rn) FROM (
                 SELECT *, row_number() OVER (PARTITION BY station_code

@@ -183,6 +183,16 @@ def payload_fields(spark, sf_dir):
     )
 
 
+def payload_stored(spark, sf_dir):
+    """A field of the payload, from the archive of the event table by day."""
+    messages = standins.messages(table(spark, sf_dir, "events"))
+    parsed = records.parse_messages(messages, F.col("timestamp")).where("reason IS NULL")
+    archive = ingest.event_archive(spark, work_folder(spark, "archive"))
+    archive.replace(parsed.withColumn("consumed_date", F.to_date("consumed_at")).hint("rebalance", "consumed_date"))
+    found = ingest.payload_columns(archive.read(), {"extra": ("$.extra", "int"), "bikes": ("$.num_bikes_available", "int")})
+    return found.select("offset", "station_code", "extra", "bikes", "consumed_date")
+
+
 def _parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     exports = standins.exports(table(spark, sf_dir, "events"))
     return records.parse_records(explode_records(exports), as_of())
@@ -355,6 +365,26 @@ def stream_ingest(spark, sf_dir):
     return stored.drop("payload", "consumed_at", "consumed_date", "partition")
 
 
+def stream_order(spark, sf_dir):
+    """Messages published in two parts and ingested by a timed trigger, a limited number of files at a
+    time: are the events of each station consumed in order?"""
+    folder = work_folder(spark, "order")
+    messages = standins.messages(table(spark, sf_dir, "events"))
+    half = F.lit(messages.agg(F.max("offset")).first()[0] // 2)
+    for n, part in enumerate((F.col("offset") <= half, F.col("offset") > half)):
+        # All messages of a key are in one file of each part.
+        messages.where(part).repartition("key").write.json(f"{folder}/topic/batch={n}")
+    query = ingest.start_ingest(
+        topics.folder_source(spark, f"{folder}/topic/*", files_per_trigger=3), f"{folder}/events",
+        f"{folder}/checkpoint", every="1 second",
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return ingest.consumed_in_order(ingest.read_events(spark, f"{folder}/events")).drop("n_batches")
+
+
 def batch_run(spark, sf_dir):
     """The whole batch run; the district rollup it stored."""
     root = work_folder(spark, "batch")
@@ -430,7 +460,7 @@ QUERIES = {
         fill_labels, recent_events, classify_events, fill_rate_rows, district_parse,
         payload_fields, export_parse, export_rejects, message_json, status_upsert,
         stations_upsert, rollup_upsert_rerun, trend_upsert, dq_counts, stream_feed,
-        stream_ingest, batch_run, export_files, batch_rerun, batch_status, batch_rejects,
+        stream_ingest, stream_order, payload_stored, batch_run, export_files, batch_rerun, batch_status, batch_rejects,
         status_table_upsert, stations_table_upsert, export_elements,
         district_stored_snapshot, recent_stored_events, key_checks,
     )

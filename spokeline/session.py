@@ -14,6 +14,10 @@ SETTINGS = {
     "spark.sql.variant.allowDuplicateKeys": "true",
     # The JVM never compiles methods beyond 8000 bytes; wide JSON projections would be one.
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Parquet files keep common paths of a VARIANT as columns, and scans read only the paths in use.
+    "spark.sql.variant.writeShredding.enabled": "true",
+    "spark.sql.variant.inferShreddingSchema": "true",
+    "spark.sql.variant.pushVariantIntoScan": "true",
 }
 
 

@@ -2,7 +2,7 @@
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -15,12 +15,13 @@ FLUSH = "5 seconds"
 
 def start_ingest(
     messages: DataFrame, path: str, checkpoint: str, available_now: bool = False,
-    unique_within: str | None = None,
+    unique_within: str | None = None, every: str = FLUSH,
 ) -> StreamingQuery:
     """Append every message to the table at path, each exactly once per checkpoint.
 
     Good events and rejects are partitions of one table, so one pass over the topic and one
     commit write both. unique_within leaves out messages that were published again within that time.
+    A batch begins at most once every interval and takes what the source's rate limit allows.
     """
     if unique_within:
         messages = without_duplicates(messages, unique_within)
@@ -29,7 +30,7 @@ def start_ingest(
         .withColumn("accepted", F.col("reason").isNull())
         .withColumn("consumed_date", F.to_date("consumed_at"))
     )
-    trigger = {"availableNow": True} if available_now else {"processingTime": FLUSH}
+    trigger = {"availableNow": True} if available_now else {"processingTime": every}
     return (
         shaped.writeStream.format("parquet")
         .partitionBy("accepted", "consumed_date")
@@ -85,6 +86,31 @@ def read_events(spark: SparkSession, path: str) -> DataFrame:
     return stored.select(*schemas.EVENTS.names, "partition", "offset", "consumed_date")
 
 
+def payload_columns(events: DataFrame, paths: dict[str, tuple[str, str]]) -> DataFrame:
+    """The events with a column per path, name to (path, type), in place of the payload.
+
+    Null where a message lacks the path or holds something that isn't of the type. Stored payloads are
+    shredded, so a scan reads these paths and not the whole messages."""
+    found = [F.try_variant_get("payload", path, kind).alias(name) for name, (path, kind) in paths.items()]
+    return events.select(*(c for c in events.columns if c != "payload"), *found)
+
+
+def consumed_in_order(events: DataFrame) -> DataFrame:
+    """station_code, n_events, n_batches and in_order: no later batch consumed an earlier offset.
+
+    events: the event table; those of a batch share their consume time. Batches are aggregated before
+    they are compared, so the window holds a row per batch of a station, however many events it has."""
+    batches = events.groupBy("station_code", "partition", "consumed_at").agg(
+        F.count("*").alias("n"), F.min("offset").alias("first"), F.max("offset").alias("last")
+    )
+    earlier = Window.partitionBy("station_code", "partition").orderBy("consumed_at")
+    highest = F.max("last").over(earlier.rowsBetween(Window.unboundedPreceding, -1))
+    later = batches.withColumn("later", F.coalesce(F.col("first") > highest, F.lit(True)))
+    return later.groupBy("station_code").agg(
+        F.sum("n").alias("n_events"), F.count_distinct("consumed_at").alias("n_batches"), F.bool_and("later").alias("in_order")
+    )
+
+
 def read_rejects(spark: SparkSession, path: str) -> DataFrame:
     stored = spark.read.schema(schemas.STORED_EVENTS).parquet(path).filter("NOT accepted")
     return stored.select(

@@ -4,6 +4,7 @@ import json
 from datetime import date
 from pathlib import Path
 
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from spokeline.operators import records
@@ -145,3 +146,40 @@ def test_closed_days_are_archived_in_few_files(spark, folder):
         assert show(both) == expected
     assert len(files(f"{folder}/archive")) == 2
     assert {str(p).split("part=")[1][:10] for p in files(f"{folder}/archive")} == {"2026-01-01", "2026-01-02"}
+
+
+def test_a_timed_trigger_takes_limited_batches_in_order(spark, folder):
+    def ingested(path):
+        source = topics.folder_source(spark, f"{folder}/topic/*", files_per_trigger=2)
+        query = ingest.start_ingest(source, f"{folder}/{path}", f"{folder}/{path}_checkpoint", every="200 milliseconds")
+        try:
+            query.processAllAvailable()
+        finally:
+            query.stop()
+        sizes = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+        rows = ingest.consumed_in_order(ingest.read_events(spark, f"{folder}/{path}")).collect()
+        return sizes, sorted(tuple(r) for r in rows)
+
+    for n in range(5):
+        publish(folder, n, *((f'{{"station_code": "{m % 2}"}}', 10 * n + m, n) for m in range(4)))
+    assert ingested("events") == ([8, 8, 4], [("0", 10, 3, True), ("1", 10, 3, True)])
+    # An earlier offset that comes in a later batch shows.
+    publish(folder, 5, ('{"station_code": "1"}', 3, 9))
+    assert ingested("events")[1] == [("0", 10, 3, True), ("1", 11, 4, False)]
+
+
+def test_a_path_of_stored_payloads_is_read_alone(spark, folder):
+    values = ['{"station_code": "1", "extra": 7, "far": {"x": [1, 2]}}', '{"station_code": "2", "extra": "8"}',
+              '{"station_code": "3", "extra": null}', '{"station_code": "4"}', '{"station_code": "5", "extra": {"y": 1}}']
+    publish(folder, 0, *((v, n, 0) for n, v in enumerate(values)))
+    ingest.start_ingest(
+        topics.folder_source(spark, f"{folder}/topic/*"), f"{folder}/events", f"{folder}/checkpoint", available_now=True,
+    ).awaitTermination()
+    archive = ingest.event_archive(spark, f"{folder}/archive")
+    assert ingest.archive_closed_days(spark, f"{folder}/events", archive, date(9999, 1, 1))
+    for events in (ingest.read_events(spark, f"{folder}/events"), archive.read()):
+        found = ingest.payload_columns(events, {"extra": ("$.extra", "int"), "x": ("$.far.x[1]", "int")})
+        rows = found.select("station_code", "extra", "x")
+        assert sorted(map(tuple, rows.collect())) == [("1", 7, 2), ("2", 8, None), ("3", None, None), ("4", None, None), ("5", None, None)]
+        schema = [line for line in plan_of(rows).splitlines() if "ReadSchema" in line]
+        assert schema and "payload:struct<0:int,1:int>" in schema[0]
