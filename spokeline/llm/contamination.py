@@ -14,17 +14,21 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spokeline.llm.components import stored
-from spokeline.llm.words import Words, shingle_hashes, slices, words
+from spokeline.llm.words import Words, mix, shingle_hashes, slices, words
 
 SHINGLE = 5
 CONTAINMENT = 0.8
 BANDS = 64
-#: Text of the items that one pass over the documents holds; more items take more passes.
+#: Bytes of items that are sent to every task; an item counts with its text and ROW_BYTES.
 BLOCK_BYTES = 4 << 20
+ROW_BYTES = 16
+#: The filter of more items than that takes 2**FILTER_BITS bits (32 MiB) at most.
+FILTER_BITS = 28
 
 _salts = np.random.Generator(np.random.PCG64(11)).integers(1, 2**63, BANDS, dtype=np.uint64) | np.uint64(1)
 
@@ -49,7 +53,7 @@ class Items:
         for item, a, b in zip(ids, first, first[1:], strict=False):
             if b > a:
                 own = np.unique(hashes[a:b])
-                self.classes[max(2, int(len(own) - 1).bit_length())].append(len(self.ids))
+                self.classes[_class(own)].append(len(self.ids))
                 self.ids.append(item)
                 self.shingles.append(own)
         self.minima = {}
@@ -62,32 +66,49 @@ class Items:
             self.minima[size] = bands
 
 
+def _class(own: np.ndarray) -> int:
+    return max(2, int(len(own) - 1).bit_length())
+
+
 def _order(hashes: np.ndarray, salt: np.uint64) -> np.ndarray:
     out = hashes * salt
     return out ^ (out >> np.uint64(31))
 
 
+def window_minima(hashes: np.ndarray, first: np.ndarray, sizes: list[int]) -> Iterator[tuple]:
+    """(size, band, text, minimum) for the windows of each class and band, as arrays over the windows.
+
+    A block of a class is made of whole blocks of the class below, so minima are taken from those."""
+    count, begin, step, below = np.diff(first), first, 1, []
+    for size in sizes:
+        ratio, step = (1 << size) // step, 1 << size
+        blocks = -(-count // ratio)
+        text = np.repeat(np.arange(len(count)), blocks)
+        after = np.concatenate([[0], np.cumsum(blocks)])
+        starts = begin[text] + (np.arange(len(text)) - after[text]) * ratio
+        below.append((size, text, starts, text[1:] == text[:-1]))
+        count, begin = blocks, after
+    for band, salt in enumerate(_salts):
+        low = _order(hashes, salt)
+        for size, text, starts, same in below:
+            low = np.minimum.reduceat(low, starts)
+            joint = low.copy()  # of a block and the next of the same text
+            joint[:-1] = np.where(same, np.minimum(low[:-1], low[1:]), low[:-1])
+            yield size, band, text, joint
+
+
 def candidates(items: Items, hashes: np.ndarray, first: np.ndarray) -> set[tuple[int, int]]:
     """Pairs (text, item) of which a window and the item agree in a band."""
     pairs: set[tuple[int, int]] = set()
     if not len(hashes):
         return pairs
-    count = np.diff(first)
-    for size, bands in items.minima.items():
-        step = 1 << size
-        blocks = -(-count // step)
-        text = np.repeat(np.arange(len(count)), blocks)
-        rank = np.arange(len(text)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
-        starts = first[text] + rank * step
-        for salt, (least, members) in zip(_salts, bands, strict=True):
-            low = np.minimum.reduceat(_order(hashes, salt), starts)
-            joint = low.copy()  # of a block and the next of the same text
-            joint[:-1] = np.where(text[1:] == text[:-1], np.minimum(low[:-1], low[1:]), low[:-1])
-            at = np.minimum(np.searchsorted(least, joint), len(least) - 1)
-            hit = np.flatnonzero(least[at] == joint)
-            for t, value in zip(text[hit].tolist(), joint[hit], strict=True):
-                lo, hi = np.searchsorted(least, value), np.searchsorted(least, value, side="right")
-                pairs.update((t, int(m)) for m in members[lo:hi])
+    for size, band, text, joint in window_minima(hashes, first, sorted(items.minima)):
+        least, members = items.minima[size][band]
+        at = np.minimum(np.searchsorted(least, joint), len(least) - 1)
+        hit = np.flatnonzero(least[at] == joint)
+        for t, value in zip(text[hit].tolist(), joint[hit], strict=True):
+            lo, hi = np.searchsorted(least, value), np.searchsorted(least, value, side="right")
+            pairs.update((t, int(m)) for m in members[lo:hi])
     return pairs
 
 
@@ -114,6 +135,96 @@ def _search(ids: list[int], texts: list[str]) -> Callable:
     return run
 
 
+def _code(minima: np.ndarray, size: int, band: int) -> np.ndarray:
+    """One number for a minimum, its class and its band."""
+    return mix(minima ^ mix(np.uint64([size * BANDS + band + 1]))[0])
+
+
+def _described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each item that has shingles: its class, its shingles and the codes of its minima."""
+    for batch in slices(batches):
+        _, hashes, first = _shingles(batch.column("text"))
+        rows = []
+        for row, item, a, b in zip(*(batch.column(c).to_pylist() for c in ("item_row", "item_id")), first, first[1:], strict=False):
+            if b > a:
+                own = np.unique(hashes[a:b])
+                size = _class(own)
+                codes = np.concatenate([_code(_order(own, salt).min(keepdims=True), size, n) for n, salt in enumerate(_salts)])
+                rows.append((row, item, size, own.view(np.int64), codes.view(np.int64)))
+        if rows:
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, ["item_row", "item_id", "size", "shingles", "codes"])
+
+
+def _hits(sizes: list[int], known: Broadcast, bits: int) -> Callable:
+    """Of each document the minima that the filter knows and, if there are any, such shingles."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = known.value
+
+        def passes(codes: np.ndarray) -> np.ndarray:
+            at = codes >> np.uint64(64 - bits)
+            return (words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+        for batch in slices(batches):
+            _, hashes, first = _shingles(batch.column("text"))
+            if not len(hashes):
+                continue
+            found = []
+            for size, band, text, joint in window_minima(hashes, first, sizes):
+                codes = _code(joint, size, band)
+                hit = np.flatnonzero(passes(codes))
+                found.append((text[hit], codes[hit]))
+            text, code = (np.concatenate(x) for x in zip(*found, strict=True))
+            held = np.zeros(batch.num_rows, dtype=bool)
+            held[text] = True
+            owner = np.repeat(np.arange(batch.num_rows), np.diff(first))
+            shared = np.flatnonzero(held[owner] & passes(hashes))
+            for minimum, text, code in ((True, text, code), (False, owner[shared], hashes[shared])):
+                order = np.lexsort((code, text))
+                text, code = text[order], code[order]
+                new = np.ones(len(text), dtype=bool)
+                new[1:] = (text[1:] != text[:-1]) | (code[1:] != code[:-1])
+                at = pa.array(text[new])
+                columns = [batch.column("doc_row").take(at), batch.column("doc_id").take(at)]
+                columns += [pa.array(np.full(len(at), minimum)), pa.array(code[new].view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_row", "doc_id", "minimum", "code"])
+
+    return run
+
+
+def _by_joins(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """contained_items for items of any size: what they have is a table by code, and one pass over the
+    documents writes the codes that a filter of all items' codes lets through. The filter has FILTER_BITS
+    at most; a fuller one lets more through, and the joins are exact in any case."""
+    spark = docs.sparkSession
+    items = items.withColumn("item_row", F.monotonically_increasing_id()).select("item_row", "item_id", "text")
+    items = stored(items.mapInArrow(_described, "item_row long, item_id long, size int, shingles array<long>, codes array<long>"), "items")
+    # One row per class, of which there are as many as a text's length has bits.
+    sizes = items.groupBy("size").agg(F.sum(F.size("shingles") + BANDS).alias("n")).collect()
+    if not sizes:
+        return spark.createDataFrame([], FOUND)
+    bits = min(max(16, (16 * sum(r.n for r in sizes)).bit_length()), FILTER_BITS)
+    every = items.select(F.explode(F.concat("codes", "shingles")).alias("code"))
+    places = every.select(F.shiftrightunsigned("code", 64 - bits).alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("1L << int(at & 63)").alias("bit"))
+    filled = places.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    words = np.zeros(1 << (bits - 6), dtype=np.uint64)
+    words[filled["word"].to_numpy()] = filled["bits"].to_numpy().view(np.uint64)
+    known = spark.sparkContext.broadcast(words)
+    rows = docs.withColumn("doc_row", F.monotonically_increasing_id()).select("doc_row", "doc_id", "text")
+    search = _hits(sorted(r.size for r in sizes), known, bits)
+    hits = stored(rows.mapInArrow(search, "doc_row long, doc_id long, minimum boolean, code long"), "hits")
+    codes = items.select("item_row", F.explode("codes").alias("code"))
+    pairs = hits.where("minimum").join(codes, "code").select("doc_row", "doc_id", "item_row").distinct()
+    wanted = items.select("item_row", "item_id", F.size("shingles").cast("long").alias("n_shingles"), F.explode("shingles").alias("code"))
+    held = hits.where("NOT minimum").select("doc_row", "code")
+    shared = pairs.join(wanted, "item_row").join(held, ["doc_row", "code"])
+    found = shared.groupBy("doc_row", "doc_id", "item_row", "item_id", "n_shingles").agg(F.count("*").alias("n_shared"))
+    found = found.where(F.col("n_shared") >= CONTAINMENT * F.col("n_shingles") - 1e-9)
+    return found.select("doc_id", "item_id", "n_shared", "n_shingles").distinct()
+
+
 def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Items whose shingles a document holds: doc_id, item_id, n_shared, n_shingles.
 
@@ -121,30 +232,19 @@ def contained_items(docs: DataFrame, items: DataFrame) -> DataFrame:
     which the document holds at least CONTAINMENT of the item's distinct 5-word shingles (all words
     of a shorter item are one shingle, found only in a document that is just as short or, as for any
     shingle, holds it whole); A to Z are compared without case. Null and empty texts hold nothing and
-    are in nothing. Repeated rows of one id and text give one row; a null id is an id of its own.
+    are in nothing. Repeated rows of one id and text give one row; a null id is an id of its own; an
+    empty table on either side gives no rows. A text is searched whole by one task, however long.
 
-    Items are the query set: they are read in blocks of BLOCK_BYTES of text, each held by every task
-    of one pass over the documents, so memory is bounded whatever their number.
+    Items of BLOCK_BYTES at most, by a count over the table, are sent to every task; more are not
+    gathered anywhere but joined. Both ways read the documents once and give the same rows.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text IS NOT NULL").distinct()
-    parts: list[DataFrame] = []
-    block: list = []
-    held = 0
-
-    def search() -> DataFrame:
-        return docs.mapInArrow(_search([i for i, _ in block], [t for _, t in block]), FOUND)
-
-    for row in items.orderBy("item_id", "text").toLocalIterator():
-        if block and held + len(row.text) > BLOCK_BYTES:
-            parts.append(stored(search(), "contained"))  # so that the driver holds one block
-            block, held = [], 0
-        block.append((row.item_id, row.text))
-        held += len(row.text)
-    found = search()
-    for part in parts:
-        found = found.unionByName(part)
-    return found.distinct()
+    items = items.select(F.col("item_id").cast("long"), F.col("text").cast("string")).where("text <> ''").distinct()
+    size = items.agg(F.coalesce(F.sum(F.octet_length("text") + ROW_BYTES), F.lit(0))).first()[0]
+    if size > BLOCK_BYTES:
+        return _by_joins(docs, items)
+    block = items.orderBy("item_id", "text").collect()
+    return docs.mapInArrow(_search([r.item_id for r in block], [r.text for r in block]), FOUND).distinct()
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -197,6 +197,34 @@ def test_contamination(spark, odd):
     assert contamination.contained_items(odd, items.limit(0)).collect() == []
 
 
+@pytest.mark.parametrize("sent", [1 << 30, -1])
+def test_contamination_against_all_pairs(spark, odd, monkeypatch, sent):
+    """Items sent to the tasks and items joined give what a comparison of all pairs gives."""
+    monkeypatch.setattr(contamination, "BLOCK_BYTES", sent)
+    rnd = random.Random(6)
+    texts = [[rnd.choice("abcdefgh") + str(rnd.randrange(40)) for _ in range(rnd.randrange(0, 900))] for _ in range(60)]
+    items = [(None, "A0 " * 3), (2, ""), (3, None), (3, "x y z"), (4, odd.first().text.upper())]
+    for n in range(150):
+        own = rnd.choice(texts)
+        cut = own[(at := rnd.randrange(len(own) + 1)) : at + rnd.choice([3, 8, 30, 200])]
+        rate = rnd.choice([0.93, 0.97, 0.99, 1])
+        items.append((n % 100, " ".join(w if rnd.random() < rate else "new" for w in cut)))
+    docs = odd.unionByName(documents(spark, *((n % 50, " ".join(t), "s") for n, t in enumerate(texts, 100)), (7, "X y Z", "s")))
+
+    def shingles(text):
+        own = WORD.findall((text or "").lower())
+        return {tuple(own[i : i + 5]) for i in range(max(1, len(own) - 4))} if own else set()
+
+    held = [(r.doc_id, shingles(r.text)) for r in docs.collect()]
+    expected = {(d, i, len(s & own), len(s)) for i, t in items if (s := shingles(t)) for d, own in held if len(s & own) >= 0.8 * len(s) - 1e-9}
+    found = contamination.contained_items(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert len(found) == len(set(found)) and {tuple(r) for r in found} == expected and len(expected) > 80
+    none = spark.createDataFrame([(1, ""), (2, None), (3, " ")], "item_id long, text string")
+    assert contamination.contained_items(docs, none).collect() == []
+    assert contamination.contained_items(docs, none.limit(0)).collect() == []
+    assert contamination.contained_items(docs.limit(0), spark.createDataFrame(items, "item_id long, text string")).collect() == []
+
+
 def test_token_counts(spark, odd):
     build = tokenizer.vocabulary(spark)
     lengths = [len(build().encode_ordinary(r.text or "")) for r in odd.collect()]
