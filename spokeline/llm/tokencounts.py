@@ -70,11 +70,30 @@ def with_suffix_sums(histogram: DataFrame) -> DataFrame:
     )
 
 
-def truncated_total(sums: DataFrame, limit: int) -> Column:
-    """Over with_suffix_sums rows, the tokens left if every document is cut to any limit.
+def truncated_totals(sums: DataFrame, limits: list[int]) -> DataFrame:
+    """limit and total: the tokens left if every document is cut to any of these limits (0 or more).
 
-    Lengths up to the limit count whole; the documents beyond it give the limit each."""
-    return F.sum(F.least(F.col("n_tokens"), F.lit(limit)) * F.col("n_docs"))
+    Read off the rows of with_suffix_sums: no length lies between a limit and the smallest one at or
+    above it, so what that row's documents are cut to is all that differs. A limit beyond the longest
+    document leaves all tokens; an empty table has none."""
+    above = [F.when(F.col("n_tokens") >= limit, F.col("n_tokens")) for limit in limits]
+    cut = [F.col("total_truncated") - (F.col("n_tokens") - limit) * F.col("docs_from") for limit in limits]
+    every = F.max("total_fitting")
+    totals = [F.coalesce(F.min_by(c, a), every, F.lit(0)) for c, a in zip(cut, above, strict=True)]
+    return _listed(sums, limits, totals, "limit", "total")
+
+
+def quantiles(sums: DataFrame, shares: list[float]) -> DataFrame:
+    """share and n_tokens: the smallest length that this share of the documents does not exceed.
+
+    Read off the rows of with_suffix_sums; null for an empty table."""
+    found = [F.min(F.when(F.col("docs_fitting_share") >= share, F.col("n_tokens"))) for share in shares]
+    return _listed(sums, shares, found, "share", "n_tokens")
+
+
+def _listed(sums: DataFrame, given: list, found: list[Column], name: str, value: str) -> DataFrame:
+    pairs = F.array(*(F.struct(F.lit(g).alias(name), f.cast("long").alias(value)) for g, f in zip(given, found, strict=True)))
+    return sums.agg(pairs.alias("pairs")).select(F.inline("pairs"))
 
 
 def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
