@@ -163,6 +163,53 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text string, fingerprint string")
 
 
+def name_sets(docs: DataFrame) -> DataFrame:
+    """doc_id, level (from 1) and name: every phrase name of every text once, the whole of what a
+    fingerprint samples.
+
+    docs: doc_id, text; other columns are ignored. Rows of one id are one set, null ids one of their
+    own. Null and empty texts have no names, and a text that stays one phrase one a level. About a
+    name for three bytes of text at level 1, a third of those before at each further level."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            ids = batch.column("doc_id")
+            for level, (names, text) in enumerate(parse(batch.column("text")), 1):
+                order = np.lexsort((names, text))
+                names, text = names[order], text[order]
+                new = np.ones(len(names), dtype=bool)
+                new[1:] = (names[1:] != names[:-1]) | (text[1:] != text[:-1])
+                columns = [ids.take(pa.array(text[new])), pa.array(np.full(new.sum(), level, dtype=np.int32))]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(names[new].view(np.int64))], ["doc_id", "level", "name"])
+
+    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    return docs.mapInArrow(run, "doc_id long, level int, name long").distinct()
+
+
+def exact_likeness(pairs: DataFrame, names: DataFrame, level: int = 2) -> DataFrame:
+    """a, b, n_a, n_b, n_common of each pair of ids (a, b), over the name sets from that level up, and
+    jaccard and contained: the share of common names among all names and among the smaller set's.
+
+    Exact where the KEPT names of fingerprints estimate: a passage that two long texts have in common
+    shows however small a part of them it is. Ids without names have counts and shares of 0; repeated
+    pairs count once. Only the names of documents in pairs are joined; texts don't move."""
+    pairs = pairs.select(F.col("a").cast("long"), F.col("b").cast("long")).distinct()
+    names = names.where(F.col("level") >= level).select(F.col("doc_id").alias("id"), "level", "name")
+    sizes = names.groupBy("id").agg(F.count("*").alias("n"))
+    for end in ("a", "b"):
+        size = sizes.select(F.col("id").alias("of"), F.col("n").alias(f"n_{end}"))
+        pairs = pairs.join(size, F.col(end).eqNullSafe(F.col("of")), "left").drop("of")
+    first = pairs.select("a", "b").join(names, F.col("a").eqNullSafe(F.col("id"))).drop("id")
+    other = names.select("id", F.col("level").alias("l"), F.col("name").alias("m"))
+    both = first.join(other, F.col("b").eqNullSafe(F.col("id")) & (F.col("level") == F.col("l")) & (F.col("name") == F.col("m")))
+    common = both.groupBy(F.col("a").alias("x"), F.col("b").alias("y")).agg(F.count("*").alias("n_common"))
+    found = pairs.join(common, F.col("a").eqNullSafe(F.col("x")) & F.col("b").eqNullSafe(F.col("y")), "left").drop("x", "y")
+    found = found.na.fill(0, ["n_a", "n_b", "n_common"])
+    union = F.col("n_a") + F.col("n_b") - F.col("n_common")
+    share = lambda whole: F.coalesce(F.try_divide(F.col("n_common"), whole), F.lit(0.0))
+    return found.select("*", share(union).alias("jaccard"), share(F.least("n_a", "n_b")).alias("contained"))
+
+
 _ORDER = "coalesce(doc_id, -9223372036854775808)"
 
 

@@ -121,3 +121,25 @@ def test_url_rules(spark):
     for r in urls.judge(pages, rules, model).collect():
         host, path, rule, verdict = plain(r.url)
         assert (r.host, r.path, r.rule) == (host, path, rule) and (rule is None or r.verdict == verdict)
+
+
+def test_exact_name_sets(spark):
+    rnd = random.Random(16)
+    write = lambda n: "".join(rnd.choice("abcdefghijk lmnop") for _ in range(n))
+    passage = write(3000)
+    texts = {1: write(150_000) + passage + write(150_000), 2: write(80_000) + passage + write(200_000), 3: write(9000),
+             4: None, 5: "", None: passage, 6: "ab"}
+    docs = documents(spark, *((i, t, "s") for i, t in texts.items()), (3, texts[3], "t"))
+    pairs = [(1, 2), (1, None), (1, 3), (4, 5), (3, 3), (1, 9), (3, 1), (1, 2), (6, 6)]
+    names = fingerprints.name_sets(docs)
+    rows = fingerprints.exact_likeness(spark.createDataFrame(pairs, "a long, b long"), names).collect()
+    sets = {i: {(n, x) for n, level in enumerate(plain_parse(t.encode()), 1) if n > 1 for x in level} if t else set()
+            for i, t in (texts | {9: ""}).items()}
+    assert sorted(map(str, rows)) == sorted({str(r) for r in rows}) and len(rows) == len(set(pairs))
+    for r in rows:
+        a, b = sets[r.a], sets[r.b]
+        assert (r.n_a, r.n_b, r.n_common) == (len(a), len(b), len(a & b))
+        assert r.jaccard == (len(a & b) / len(a | b) if a | b else 0) and r.contained == (len(a & b) / min(len(a), len(b)) if a and b else 0)
+    found = {(r.a, r.b): r for r in rows}
+    assert found[1, 2].n_common > 100 and found[1, None].contained > 0.9 and found[3, 3].jaccard == 1 and found[1, 3].contained < 0.2
+    assert fingerprints.name_sets(docs.limit(0)).collect() == []
