@@ -132,6 +132,23 @@ def test_partial_upsert_into_days_and_buckets(spark, folder):
     assert sorted(map(tuple, found)) == [("1", 9, True), ("2", 7, True), ("3", 2, False)]
 
 
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_a_bucket_of_a_day_stays_one_file(spark, folder, threshold):
+    before = {c: spark.conf.get(c) for c in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.shuffle.partitions")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    try:
+        table = StoredTable(spark, f"{folder}/s", ROLLUP, ["k", "at"], "to_date(at)", "date", ["k"])
+        assert table.buckets < 40
+        table.upsert(rows(spark, *[(n, at(1 + n % 3), 1) for n in range(300)]))
+        table.upsert(rows(spark, *[(n, at(1 + n % 3), 2) for n in range(0, 300, 2)]))
+        assert read(table.read()) == [(n, 1 + n % 3, 1 + (n % 2 == 0)) for n in range(300)]
+        assert len(files(f"{folder}/s")) <= 3 * table.buckets
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 @pytest.mark.parametrize("schema", [schemas.STATIONS, schemas.STATUS, schemas.DISTRICTS,
                                     schemas.HOURLY, schemas.EVENTS, schemas.REJECTS])
 def test_schemas_read_an_empty_table(spark, schema):
