@@ -1,4 +1,4 @@
-"""Gradient-boosted trees: fitted on a bounded sample, applied as a SQL expression."""
+"""Gradient-boosted trees: fitted on rows or counted cells of a grid, applied as a SQL expression."""
 
 from dataclasses import dataclass
 
@@ -60,30 +60,45 @@ def _case(node: Node, features: list[Column]) -> Column:
     return F.when(low, _case(node.left, features)).otherwise(_case(node.right, features))
 
 
-def fit(inputs: np.ndarray, labels: np.ndarray) -> Trees:
+def fit(
+    inputs: np.ndarray, labels: np.ndarray, counts: np.ndarray | None = None, cuts: list | None = None
+) -> Trees:
     """Trees for 0/1 labels by second-order boosting of the logistic loss on binned features.
 
-    Without rows the log odds are 0; with one class only, those of its smoothed share."""
-    n = len(labels)
-    share = (labels.sum() + 0.5) / (n + 1) if n else 0.5
+    counts: how many rows each input stands for; then both labels weigh the same in total. cuts: where
+    each feature may be cut (quantiles of the inputs). Without rows the log odds are 0; with one class
+    only, those of its smoothed share."""
+    counts, weights = (np.ones(len(labels)),) * 2 if counts is None else (counts, _balanced(labels, counts))
+    n = weights.sum()
+    share = ((weights * labels).sum() + 0.5) / (n + 1) if n else 0.5
     model = Trees(float(np.log(share / (1 - share))), [])
     if not n or labels.min() == labels.max():
         return model
-    cuts = [np.unique(np.quantile(x, np.linspace(0, 1, BINS + 1)[1:-1], method="lower")) for x in inputs.T]
+    cuts = cuts or [np.unique(np.quantile(x, np.linspace(0, 1, BINS + 1)[1:-1], method="lower")) for x in inputs.T]
     binned = np.stack([np.searchsorted(c, x) for c, x in zip(cuts, inputs.T, strict=True)], axis=1)
-    odds = np.full(n, model.start)
+    odds = np.full(len(labels), model.start)
     for _ in range(TREES):
         p = 1 / (1 + np.exp(-odds))
-        tree = _grow(binned, cuts, labels - p, p * (1 - p), np.arange(n), DEPTH)
+        tree = _grow(binned, cuts, weights * (labels - p), weights * (p * (1 - p)), counts, np.arange(len(labels)), DEPTH)
         model.trees.append(tree)
         odds += _values(tree, inputs)
     return model
 
 
-def _grow(binned: np.ndarray, cuts: list, slope: np.ndarray, curve: np.ndarray, rows: np.ndarray, depth: int) -> Node:
-    g, h = slope[rows].sum(), curve[rows].sum()
+def _balanced(labels: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Weights that add up to half of all counts for either label, if both have some."""
+    ones = (counts * labels).sum()
+    if not 0 < ones < counts.sum():
+        return counts
+    return counts * counts.sum() / 2 / np.where(labels == 1, ones, counts.sum() - ones)
+
+
+def _grow(
+    binned: np.ndarray, cuts: list, slope: np.ndarray, curve: np.ndarray, counts: np.ndarray, rows: np.ndarray, depth: int
+) -> Node:
+    g, h, n = slope[rows].sum(), curve[rows].sum(), counts[rows].sum()
     leaf = Node(value=float(RATE * g / (h + SHRINK)))
-    if not depth or len(rows) < 2 * LEAST:
+    if not depth or n < 2 * LEAST:
         return leaf
     best, choice = 1e-6, None
     for feature, points in enumerate(cuts):
@@ -91,9 +106,9 @@ def _grow(binned: np.ndarray, cuts: list, slope: np.ndarray, curve: np.ndarray,
         size = len(points) + 1
         gl = np.cumsum(np.bincount(at, slope[rows], size))[:-1]
         hl = np.cumsum(np.bincount(at, curve[rows], size))[:-1]
-        nl = np.cumsum(np.bincount(at, minlength=size))[:-1]
+        nl = np.cumsum(np.bincount(at, counts[rows], size))[:-1]
         gain = gl**2 / (hl + SHRINK) + (g - gl) ** 2 / (h - hl + SHRINK) - g**2 / (h + SHRINK)
-        gain[(nl < LEAST) | (len(rows) - nl < LEAST)] = 0
+        gain[(nl < LEAST) | (n - nl < LEAST)] = 0
         if len(gain) and gain.max() > best:
             best, choice = gain.max(), (feature, int(gain.argmax()))
     if choice is None:
@@ -103,6 +118,6 @@ def _grow(binned: np.ndarray, cuts: list, slope: np.ndarray, curve: np.ndarray,
     return Node(
         feature=feature,
         cut=float(cuts[feature][point]),
-        left=_grow(binned, cuts, slope, curve, rows[low], depth - 1),
-        right=_grow(binned, cuts, slope, curve, rows[~low], depth - 1),
+        left=_grow(binned, cuts, slope, curve, counts, rows[low], depth - 1),
+        right=_grow(binned, cuts, slope, curve, counts, rows[~low], depth - 1),
     )

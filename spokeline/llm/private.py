@@ -2,11 +2,12 @@
 
 All of it is SQL expressions. The formats of base spans (email, ip, card, phone) are matched and
 validated. Generators with high recall propose spans that may overlap: runs of digits and their
-separators ("number"), and long words that mix letters and digits ("secret"). Trees fitted on a bounded
-sample of each label and on fixed examples score format and context. Where a validated format or a
-telling context decides a candidate, that is its label; the smallest score that keeps PRECISION on the
-half of the sample the trees haven't seen is the threshold. Candidates beyond it, and all that a
-telling context decides, are added where no base span touches them.
+separators ("number"), and long words that mix letters and digits ("secret"). Trees fitted on all
+candidates, counted by the cells of a fixed grid of their features, and on fixed examples score format
+and context. Where a validated format or a telling context decides a candidate, that is its label; the
+smallest score that keeps PRECISION on the half of the candidates the trees haven't seen is the
+threshold. Candidates beyond it, and all that a telling context decides, are added where no base span
+touches them.
 """
 
 import random
@@ -20,8 +21,6 @@ from pyspark.sql import functions as F
 from spokeline.functions.coerce import once
 from spokeline.llm.boosting import Trees, fit
 
-#: Candidates of each label that the trees are fitted and calibrated on, besides the examples.
-FIT_CANDIDATES = 10000
 PRECISION = 0.95
 #: The share of label 1 among candidates that the precision is computed for.
 PRIOR = 0.2
@@ -56,6 +55,17 @@ _CUE = r"(?i)(?:token|password|passwd|pwd|secret|key|auth)['\"\x20:=]{1,5}$"
 _KEY = r"^(?:AKIA|ASIA|ghp_|xox[bp]-|sk_live_)"
 _NUMBER_CUE = r"(?i)(?:phone|mobile|tel|fax|ssn|passport|account|iban)['\"\x20.:=#]{1,5}$"
 FEATURES = 15
+#: Where each of the features may be cut; those that follow are 0 or 1.
+_CUTS = [
+    [4],
+    [8, 10, 12, 14, 16, 18, 20, 24, 32, 40, 64],
+    [1, 2, 4, 6, 8, 9, 10, 12, 14, 15, 16, 19, 24, 32],
+    [0, 2, 4, 6, 8, 12, 16, 24, 32],
+    [0, 1, 2, 4, 8, 16],
+    [0, 1, 2, 3, 4, 6, 8],
+    [2, 4, 6, 8, 10, 12, 14, 16, 20, 24],
+]
+CUTS = [np.array(c, dtype=np.float64) for c in (*_CUTS, *[[0]] * (FEATURES - len(_CUTS)))]
 
 
 def _hold(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -279,36 +289,51 @@ def _examples() -> list[str]:
     return out
 
 
+def cells(marked: DataFrame) -> DataFrame:
+    """(label, half, cell, n): how many loose spans of with_candidates() rows are in each cell of the grid.
+
+    Equal spans count every time, all those in equal surroundings in the same half, which is drawn by a
+    hash. A span that equals a base span, or that a telling context gives away, has label 1."""
+    rows = marked.select(F.explode("loose").alias("span"))
+    span = F.col("span")
+    rows = rows.select(
+        (span["same"] | _told(span)).cast("int").alias("label"),
+        F.pmod(F.xxhash64(span["found"], span["before"], span["after"]), F.lit(2)).cast("int").alias("half"),
+        F.array(*_features(span)).alias("features"),
+    )
+    cell = F.lit(0).cast("long")
+    for i, cuts in enumerate(CUTS):
+        value = F.col("features")[i]
+        cell = cell * (len(cuts) + 1) + sum((value > float(c)).cast("int") for c in cuts)
+    return rows.select("label", "half", cell.alias("cell")).groupBy("label", "half", "cell").agg(F.count("*").alias("n"))
+
+
+def _inputs(cell: np.ndarray) -> np.ndarray:
+    """For each cell, values of the features that lie in it."""
+    out = []
+    for cuts in reversed(CUTS):
+        cell, place = np.divmod(cell, len(cuts) + 1)
+        out.append(np.append(cuts, cuts[-1] + 1)[place])
+    return np.stack(out[::-1], axis=1)
+
+
 def train(marked: DataFrame) -> tuple[Trees, float]:
     """Trees for loose spans, and the least log odds that selects one.
 
-    marked: with_candidates() rows. Candidates of each label are dealt into FIT_CANDIDATES places by a hash
-    of the span and its surroundings, and the first of each place is in the sample, beside the examples.
-    One aggregate does so in one pass. In the precision a label's sample counts for its share in PRIOR,
-    however many candidates the table has. A span that equals a base span, or that a telling context gives
-    away, has label 1."""
-
-    def features(marked: DataFrame) -> DataFrame:
-        rows = marked.select(F.explode("loose").alias("span"))
-        span = F.col("span")
-        return rows.select(
-            (span["same"] | _told(span)).cast("int").alias("label"),
-            F.xxhash64(span["found"], span["before"], span["after"]).alias("order"),
-            F.array(*_features(span)).alias("features"),
-        )
-
+    marked: with_candidates() rows. All their candidates count, and the examples do. One aggregate counts
+    them, so what is handled here are cells of the grid, however many candidates they hold. Half of the
+    candidates fit the trees; the precision is that on the others, where a label's candidates count for
+    its share in PRIOR."""
     spark = marked.sparkSession
-    examples = features(with_candidates(spark.createDataFrame([(x,) for x in _examples()], "text string")))
-    place = F.pmod("order", F.lit(FIT_CANDIDATES)).alias("place")
-    sample = features(marked).groupBy("label", place).agg(F.min(F.struct("order", "features")).alias("least"))
-    sample = sample.select("label", "least.order", "least.features")
-    table = [(row["label"], row["order"], *row["features"]) for df in (sample, examples) for row in df.collect()]
-    table = np.array([(row[0], *row[2:]) for row in sorted(table)], dtype=np.float64)
-    inputs, labels = table[:, 1:], table[:, 0]
-    half = np.arange(len(labels)) % 2 == 0
-    trees = fit(inputs[half], labels[half])
-    odds, truth = trees.odds(inputs[~half]), labels[~half]
-    weights = np.where(truth == 1, PRIOR / max((truth == 1).sum(), 1), (1 - PRIOR) / max((truth == 0).sum(), 1))
+    examples = with_candidates(spark.createDataFrame([(x,) for x in _examples()], "text string"))
+    counted = cells(marked).unionByName(cells(examples))
+    table = np.array(sorted(tuple(row) for row in counted.collect()), dtype=np.int64)
+    labels, inputs, counts = table[:, 0], _inputs(table[:, 2]), table[:, 3].astype(np.float64)
+    half = table[:, 1] == 0
+    trees = fit(inputs[half], labels[half], counts[half], CUTS)
+    odds, truth, counts = trees.odds(inputs[~half]), labels[~half], counts[~half]
+    shares = np.where(truth == 1, PRIOR, 1 - PRIOR)
+    weights = shares * counts / np.where(truth == 1, max(counts[truth == 1].sum(), 1), max(counts[truth == 0].sum(), 1))
     order = np.argsort(-odds, kind="stable")
     right = np.cumsum((truth * weights)[order]) / np.cumsum(weights[order])
     last = np.append(odds[order][1:] != odds[order][:-1], True)  # a threshold can't part equal scores

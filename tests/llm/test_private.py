@@ -58,3 +58,24 @@ def test_spans_that_overlap_become_one_stretch(spark):
     spans = [(2, 0, "email", 9), (4, 1, "ip", 6), (5, 2, "card", 11), (11, 3, "phone", 12)]
     rows = spark.createDataFrame([("ab" + "c" * 12, spans), ("q", []), ("wxyz", [(0, 0, "email", 4)])], schema)
     assert [r.text for r in private.redact(rows).collect()] == ["ab[EMAIL][PHONE]cc", "q", "[EMAIL]"]
+
+
+def test_all_candidates_count_in_the_fit(spark, monkeypatch):
+    seen, fit = [], private.fit
+    monkeypatch.setattr(private, "fit", lambda *given: seen.append(given) or fit(*given))
+    words = [f"ab{n:06d}cdef" for n in range(26000)]
+    texts = [" ".join(words[n : n + 500]) for n in range(0, 26000, 500)]
+    docs = spark.createDataFrame([(x,) for x in [*texts, "key=abcDEF123456xyz", "key=abcDEF123456xyz"]], "text string")
+    marked = private.with_candidates(docs)
+    by_label = {r.label: r.n for r in private.cells(marked).groupBy("label").agg(F.sum("n").alias("n")).collect()}
+    assert by_label == {0: 26000, 1: 2}
+    private.train(marked)
+    ((inputs, labels, counts, cuts),) = seen
+    assert 12000 < counts[labels == 0].sum() < 14500 and len(inputs) < 1000
+    # What a cell stands for lies in it.
+    span = spark.createDataFrame([("see AKIAabcdef12345678 there",)], "text string")
+    span = private.with_candidates(span).select(F.explode("loose").alias("span"))
+    values = span.select(*private._features(F.col("span"))).first()
+    cell = private.cells(private.with_candidates(spark.createDataFrame([("see AKIAabcdef12345678 there",)], "text string")))
+    (back,) = private._inputs(private.np.array([cell.first().cell]))
+    assert all(((v > c) == (b > c)).all() for v, b, c in zip(values, back, private.CUTS, strict=True))
