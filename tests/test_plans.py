@@ -11,7 +11,7 @@ from spokeline import schemas
 from spokeline.functions import metrics
 from spokeline.operators import rollups
 from spokeline.plans import views
-from spokeline.session import spread, utc
+from spokeline.session import estimated_size, spread, utc
 from spokeline.sources.tables import DayTable
 
 
@@ -131,6 +131,17 @@ def test_small_inputs_are_spread_and_large_ones_are_not(spark, folder):
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
+def test_a_file_of_one_row_group_is_spread_though_it_has_splits(spark, folder):
+    spark.range(10000).coalesce(1).write.parquet(f"{folder}/r")
+    df = spark.read.parquet(f"{folder}/r")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", f"{estimated_size(df) // 3}b")
+    try:
+        assert "RoundRobinPartitioning" in plan_of(spread(df))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_kpi_record(spark):
     record = views.kpi_record(queries.kpi_empty(spark, SF))
     assert record == {
