@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +46,11 @@ BLOCK_ROWS = 512
 BLOCK_WORDS = 1 << 20
 #: Bits of a text's signature.
 SIGNATURE = 2048
-BLOCK = 1 << 16
+#: Shingles that are sketched at once, and bytes of text that a Python worker gets and takes apart at once: the
+#: arrays for a byte of text take some forty times its size, in every worker of an executor.
+BLOCK = 1 << 13
+BATCH = 1 << 21
+SLICE = 1 << 19
 
 _salts = np.random.Generator(np.random.PCG64(7)).integers(1, 2**63, SKETCHES, dtype=np.uint64) | np.uint64(1)
 
@@ -138,7 +143,7 @@ def _keys(hashes: np.ndarray, shingles: np.ndarray) -> np.ndarray:
 
 
 def _sketch_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in slices(batches):
+    for batch in slices(batches, size=SLICE):
         found = words(batch.column("text"))
         hashes = found.hashes()
         shingles, first = shingle_hashes(found.first, hashes, SHINGLE)
@@ -206,14 +211,20 @@ def _banded(a: list[int], b: list[int], band: int) -> int:
     return distance
 
 
+def _word_hashes(texts: pa.Array) -> list[np.ndarray]:
+    """The hashes of each text's words; only SLICE bytes of text (one text at least) are taken apart at once."""
+    out = []
+    for part in slices(iter([pa.RecordBatch.from_arrays([texts], ["text"])]), size=SLICE):
+        found = words(part.column("text"))
+        hashes = found.hashes()
+        out += [hashes[x:y] for x, y in zip(found.first, found.first[1:], strict=False)]
+    return out
+
+
 def _align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The pairs of rows (a, b, text_a, text_b) that are linked."""
-    for batch in slices(batches, "text_a"):
-        sides = []
-        for name in ("text_a", "text_b"):
-            found = words(batch.column(name))
-            hashes = found.hashes()
-            sides.append([hashes[x:y] for x, y in zip(found.first, found.first[1:], strict=False)])
+    for batch in slices(batches, "text_a", SLICE):
+        sides = [_word_hashes(batch.column(name)) for name in ("text_a", "text_b")]
         found = distances(list(zip(*sides, strict=True)))
         yield batch.select(["a", "b"]).filter(pa.array(found >= 0))
 
@@ -332,12 +343,13 @@ def _earlier_keys(keys: pa.Array, key: int) -> np.ndarray:
 def _blocks(table: pa.Table) -> pa.Table:
     """Links between the rows of two blocks, or within one, that are of different classes; rows that
     these links join already are not compared again."""
-    table = table.combine_chunks().sort_by("n_words").combine_chunks()
+    hashes = [x for texts in table["text"].chunks for x in _word_hashes(texts)]
+    order = pc.sort_indices(table["n_words"])
+    hashes = [hashes[i] for i in order.to_pylist()]
+    table = table.drop_columns(["text"]).take(order).combine_chunks()
     column = lambda name: table[name].chunk(0)
     block, doc, n, of = (column(name).to_numpy() for name in ("block", "doc_id", "n_words", "class_id"))
     bits, earlier = _bits(column("signature")), _earlier_keys(column("keys"), table["key"][0].as_py())
-    found = words(column("text"))
-    hashes = np.split(found.hashes(), found.first[1:-1])
     known, of = np.unique(of, return_inverse=True)
     top = list(range(len(known)))
 
@@ -384,7 +396,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     whole. An empty table gives an empty one.
     """
     spark = docs.sparkSession
-    bound_batches(spark)
+    bound_batches(spark, BATCH)
     docs = (
         docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
         .where("doc_id IS NOT NULL")
@@ -418,6 +430,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     pairs = stored(pairs, "across")
     links = links.unionByName(stored(linked(docs, pairs), "links"))
     links = links.unionByName(stored(_crowded_links(held, sketched, docs), "links"))
+    bound_batches(spark)  # all Python steps above have run
     classes = components(links)
     found = looked_up(member, classes.select(F.col("id").alias("rep"), "class_id"), "rep", "doc_id")
     found = found.select("doc_id", F.coalesce("class_id", "rep").alias("class_id"))

@@ -31,10 +31,12 @@ def powers(which: int, n: int, inverse: bool = False) -> np.ndarray:
     known = _powers.get((which, inverse))
     if known is None or len(known) < n:
         base = (_INVERSES if inverse else _BASES)[which]
-        row = np.full(max(n, SLICE_BYTES + 1), base, dtype=np.uint64)
+        kept = n <= 2 * SLICE_BYTES  # tables for a giant text aren't
+        # As long as asked for, rounded up, since every Python worker keeps up to four of these tables.
+        row = np.full(max(1 << (n - 1).bit_length(), 1 << 12) if kept else n, base, dtype=np.uint64)
         row[0] = 1
         known = np.multiply.accumulate(row)
-        if len(known) <= 2 * SLICE_BYTES:  # tables for a giant text aren't kept
+        if kept:
             _powers[which, inverse] = known
     return known[:n]
 
@@ -62,9 +64,9 @@ def prefix_sums(values: np.ndarray, which: int) -> np.ndarray:
     return sums
 
 
-def bound_batches(spark: SparkSession) -> None:
+def bound_batches(spark: SparkSession, size: int = BATCH_BYTES) -> None:
     """Bound the batches of later Python steps by bytes too, as 10,000 rows of long texts are large."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", size)
 
 
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

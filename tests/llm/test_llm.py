@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -149,6 +150,33 @@ def word_hashes(texts):
     return np.split(found.hashes(), found.first[1:-1])
 
 
+def test_near_duplicates_hold_arrays_of_a_slice(monkeypatch):
+    """A Python worker's arrays go with a slice of text, not with a batch, a long text or a pair of blocks."""
+    def peak(run):
+        monkeypatch.setattr("spokeline.llm.words._powers", {})
+        tracemalloc.start()
+        out = run()
+        taken = tracemalloc.get_traced_memory()[1] / 2**20
+        tracemalloc.stop()
+        return out, taken
+
+    texts = [" ".join(f"t{i}w{n}" for n in range(2000)) for i in range(400)]
+    texts[399] = texts[7].replace("w8 ", "x8 ")
+    size = sum(map(len, texts))
+    assert size > 6 << 20
+    batch = pa.RecordBatch.from_arrays([pa.array(range(400), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    rows, taken = peak(lambda: pa.Table.from_batches(neardups._sketch_rows(iter([batch]))))
+    assert rows["n_words"].to_pylist() == [2000] * 400 and taken < 40
+    shingles = np.arange(150_000, dtype=np.uint64)
+    assert peak(lambda: neardups.sketches(shingles))[1] < 40
+    zero, least = (pa.array([value] * 400, pa.int64()) for value in (0, -(2**63)))
+    for name, column in (("text", pa.array(texts)), ("class_id", rows["doc_id"]), ("key", least),
+                         ("low", zero), ("high", zero), ("block", zero)):
+        rows = rows.append_column(name, column)
+    links, taken = peak(lambda: neardups._blocks(rows))
+    assert links.to_pydict() == {"a": [7], "b": [399]} and taken < 60
+
+
 def test_components(spark):
     rnd = random.Random(5)
     links = [(0, i) for i in range(1, 60)] + [(i, i + 1) for i in range(100, 140)]
